@@ -23,7 +23,9 @@ def one_decimal(value: Column) -> Column:
         .when(excess * F.signum(value) < 0, shown - step)
         .otherwise(F.bround(shown, 1))
     )
-    return F.when(tie, tied).otherwise(F.round(shown, 1)).cast("decimal(30,1)").cast("string")
+    digits = F.when(tie, tied).otherwise(F.round(shown, 1)).cast("decimal(30,1)")
+    sign = F.when((value < 0) & (digits == 0), "-").otherwise("")
+    return F.concat(sign, digits.cast("string"))
 
 
 def whole(value: Column) -> Column:

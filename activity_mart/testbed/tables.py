@@ -24,7 +24,7 @@ from activity_mart.contracts import (
     LENDER_EXTRACT,
     LENDER_ID,
     MONEY,
-    REPORTING_PERIOD,
+    ExtractSpec,
 )
 from activity_mart.operators.cleaning import derive_ratios
 from activity_mart.operators.star import Star, build_star
@@ -274,5 +274,48 @@ def raw_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def period(value: str = REPORTING_PERIOD) -> Column:
-    return F.lit(value).cast("date")
+def text_delivery(rows: DataFrame, spec: ExtractSpec) -> DataFrame:
+    """An extract as it would be delivered: text only, with the delivery's headers."""
+    return rows.select(*[F.col(name).cast("string").alias(header) for header, name in spec.columns.items()])
+
+
+def dirty_delivery(rows: DataFrame, spec: ExtractSpec) -> DataFrame:
+    """A text delivery whose loan counts are missing, junk or negative on some rows."""
+    n = F.col("approved_loans")
+    loans = (
+        F.when(n % 17 == 3, F.lit(None).cast("string"))
+        .when(n % 19 == 4, "n/a")
+        .when(n % 23 == 5, "-1")
+        .otherwise(n.cast("string"))
+    )
+    return text_delivery(rows.withColumn("approved_loans", loans), spec)
+
+
+def null_token_rows(rows: DataFrame) -> DataFrame:
+    """Cleaned rows as text, with null tokens and padding for the bulk loader to resolve."""
+    n = F.col("approved_loans")
+    marked = {
+        "lender_city": F.when(n % 7 == 2, "NULL").when(n % 5 == 1, "null").when(n % 3 == 0, "").otherwise(
+            F.concat(F.lit("  "), "lender_city", F.lit("  "))
+        ),
+        "avg_loan_size": F.when(n % 11 == 3, "NULL").otherwise(F.col("avg_loan_size").cast("string")),
+    }
+    return rows.withColumns(marked).select(
+        *[F.col(name).cast("string").alias(name) for name in rows.columns]
+    )
+
+
+def fact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems laid out like a fact file, as text, with values that do not convert."""
+    order, day = F.col("l_orderkey"), F.col("l_shipdate")
+    return source(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("lender_key"),
+        F.when(order % 97 == 0, "none").otherwise(F.col("l_partkey").cast("string")).alias("geography_key"),
+        F.date_format(day, "yyyyMMdd").alias("date_key"),
+        F.when(order % 89 == 0, "n/a").otherwise(F.date_format(day, "yyyy-MM-dd")).alias("reporting_period"),
+        F.when(order % 101 == 0, "many")
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+        .alias("approved_loan_count"),
+        F.when(order % 103 == 0, "1,000").otherwise(price().cast("string")).alias("approved_dollars"),
+        guaranteed().cast(MONEY).cast("string").alias("guaranty_dollars"),
+    )
