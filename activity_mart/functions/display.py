@@ -9,32 +9,33 @@ from pyspark.sql import functions as F
 def one_decimal(value: Column) -> Column:
     """A double with one decimal, rounded by its exact binary value.
 
-    The printed digits of a double may look like a tie (10.85) while the stored
-    number lies just below or above it. For such values ``20 * value`` is compared
-    with its odd integer neighbour in two exact steps (16 + 4).
+    A double printed as 10.85 is really a little below or above the tie. Twentieths
+    decide: an even count is no tie, and for an odd one ``20 * value`` is compared
+    with it in two steps (16 + 4) that lose no bit.
     """
-    shown = value.cast("decimal(38,18)")
-    target = F.round(shown * 20, 0).cast("double")
-    tie = (shown * 20 == F.round(shown * 20, 0)) & (F.abs(target) % 2 == 1)
-    excess = (value * 16.0 - target) + value * 4.0
-    step = F.signum(value).cast("decimal(1,0)") * F.lit(0.05).cast("decimal(3,2)")
-    tied = (
-        F.when(excess * F.signum(value) > 0, shown + step)
-        .when(excess * F.signum(value) < 0, shown - step)
-        .otherwise(F.bround(shown, 1))
+    size = F.abs(value)
+    twentieths = F.rint(size * 20.0)
+    excess = (size * 16.0 - twentieths) + size * 4.0
+    half = twentieths.cast("bigint")
+    low = F.call_function("div", half, F.lit(2))
+    up = (half % 2 == 1) & ((excess > 0) | ((excess == 0) & (low % 2 == 1)))
+    tenths = low + F.when(up, 1).otherwise(0)
+    return F.concat(
+        F.when(value < 0, "-").otherwise(""),
+        F.call_function("div", tenths, F.lit(10)).cast("string"),
+        F.lit("."),
+        (tenths % 10).cast("string"),
     )
-    digits = F.when(tie, tied).otherwise(F.round(shown, 1)).cast("decimal(30,1)")
-    sign = F.when((value < 0) & (digits == 0), "-").otherwise("")
-    return F.concat(sign, digits.cast("string"))
 
 
 def whole(value: Column) -> Column:
-    """Rounded half to even, no separators."""
-    return F.bround(value.cast("decimal(38,10)"), 0).cast("decimal(28,0)").cast("string")
+    """A double as a whole number, half to even, no separators."""
+    return F.rint(value).cast("bigint").cast("string")
 
 
 def thousands(value: Column) -> Column:
-    return F.format_number(F.bround(value.cast("decimal(38,10)"), 0).cast("decimal(28,0)"), 0)
+    """A whole number with separators; a fraction is rounded half to even."""
+    return F.format_number(F.rint(value.cast("double")).cast("bigint"), 0)
 
 
 def money_short(value: Column) -> Column:
@@ -54,7 +55,8 @@ def percent_one(value: Column) -> Column:
 
 
 def percent_two(value: Column) -> Column:
-    return F.concat(F.bround(value.cast("decimal(38,10)"), 2).cast("decimal(28,2)").cast("string"), F.lit("%"))
+    """A percentage already held at two decimals."""
+    return F.concat(value.cast("decimal(28,2)").cast("string"), F.lit("%"))
 
 
 def currency(value: Column) -> Column:

@@ -7,14 +7,18 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators that also count as blank.
-_BLANK = r"[\s\x1c-\x1f]"
+# Fixed value: every character that counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
 def strip_text(value: Column) -> Column:
     """Trim every kind of white space, not only spaces; null stays null."""
-    return F.regexp_replace(value.cast("string"), f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(value.cast("string"), F.lit(WHITE_SPACE))
 
 
 def snake_case(name: str) -> str:
@@ -28,5 +32,5 @@ def title_case(value: Column) -> Column:
 
 
 def ellipsis(value: Column, limit: int) -> Column:
-    head = F.regexp_replace(F.substring(value, 1, limit - 3), f"(?U){_BLANK}+$", "")
+    head = F.rtrim(F.substring(value, 1, limit - 3), F.lit(WHITE_SPACE))
     return F.when(F.length(value) > limit, F.concat(head, F.lit("..."))).otherwise(value)

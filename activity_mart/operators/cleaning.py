@@ -28,13 +28,18 @@ from activity_mart.sources.readers import normalize_columns
 BLANK = "is_blank"
 REASON = "rejection_reason"
 ORIGINAL = "raw_record"
-_HELPERS = (BLANK, REASON, ORIGINAL)
+PASSES = "is_clean"
+_HELPERS = (BLANK, PASSES, REASON, ORIGINAL)
 
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)
 
 
+def all_of(conditions: list[Column]) -> Column:
+    return reduce(lambda left, right: left & right, conditions)
+
+
 def drop_blank_rows(raw: DataFrame) -> DataFrame:
     """Rows without a single value leave silently; they are not rejects."""
     return raw.na.drop("all")
@@ -60,16 +65,26 @@ def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> Da
 
     rows = renamed.select(
         *[prepared(name) for name in renamed.columns],
-        F.forall(F.array(*[F.col(name).isNull() for name in renamed.columns]), lambda x: x).alias(BLANK),
+        all_of([F.col(name).isNull() for name in renamed.columns]).alias(BLANK),
         F.struct(*renamed.columns).alias(ORIGINAL),
     )
-    absences = [F.col(name).isNull() for name in spec.required]
+    # Stripping never turns text into null, so these tests look at the text as it came.
+    absent_text = [F.col(f"{ORIGINAL}.{name}").isNull() for name in spec.required_text]
     if blank_is_missing:
-        absences += [F.col(name) == "" for name in spec.required_text]
-    reason = F.when(any_of(absences), MISSING).when(
-        (F.col("approved_loans") <= 0) | (F.col("approved_dollars") <= 0), INVALID
+        absent_text += [F.col(name) == "" for name in spec.required_text]
+    # Clean and rejected rows are filtered by this one test: a filter on the reason
+    # itself would repeat every parse once per branch.
+    passes = all_of(
+        [~condition for condition in absent_text]
+        + [F.col("approved_loans") > 0, F.col("approved_dollars") > 0]
+        + [F.col("approved_sba_guaranty_dollars").isNotNull()]
+    )
+    missing = any_of(absent_text + [F.col(name).isNull() for name in AMOUNTS])
+    return rows.select(
+        "*",
+        F.coalesce(passes, F.lit(False)).alias(PASSES),
+        F.when(F.col(BLANK) | passes, None).when(missing, MISSING).otherwise(INVALID).alias(REASON),
     )
-    return rows.withColumn(REASON, F.when(~F.col(BLANK), reason))
 
 
 def round_amounts(rows: DataFrame) -> DataFrame:
@@ -97,7 +112,7 @@ def derive_ratios(rows: DataFrame) -> DataFrame:
 
 
 def valid_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(~F.col(BLANK) & F.col(REASON).isNull()).drop(*_HELPERS)
+    return tagged.where(PASSES).drop(*_HELPERS)
 
 
 def clean(tagged: DataFrame) -> DataFrame:
@@ -106,7 +121,7 @@ def clean(tagged: DataFrame) -> DataFrame:
 
 def rejects(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
     """Rejected rows in the fixed envelope, with the original text kept as JSON."""
-    return tagged.where(F.col(REASON).isNotNull()).select(
+    return tagged.where(~F.col(PASSES) & ~F.col(BLANK)).select(
         F.lit(spec.name).alias("source_table"),
         F.col(REASON),
         F.col("lender"),
@@ -132,14 +147,13 @@ def surplus_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def cleaning_log(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
     """One row of counts for an extract, missing values counted before rejection."""
-    kept = ~F.col(BLANK)
-    passed = kept & F.col(REASON).isNull()
+    kept, passed = ~F.col(BLANK), F.col(PASSES)
     counts = tagged.agg(
         F.count("*").alias("raw_rows"),
         F.count_if(kept).alias("rows_after_blank_drop"),
         F.count_if(passed).alias("clean_rows"),
         F.count_if(~passed).alias("rows_removed"),
-        F.count_if(F.col(REASON).isNotNull()).alias("rows_rejected"),
+        F.count_if(kept & ~passed).alias("rows_rejected"),
         *[F.count_if(kept & F.col(c).isNull()).alias(f"missing_{c}") for c in spec.required],
     )
     return counts.select(

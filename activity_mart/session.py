@@ -13,6 +13,7 @@ def local_session(app_name: str = "activity-mart", cpus: int | str = 8) -> Spark
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))

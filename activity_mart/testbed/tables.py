@@ -72,26 +72,25 @@ def _per_supplier(loans: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def lenders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier key with the lender's name, city and state."""
-    nation = source(spark, sf_dir, "nation")
-    region = source(spark, sf_dir, "region")
+def with_lender(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attach lender, city and state by supplier key.
+
+    Table by table, so that each join decides on real file sizes and not on the
+    estimate of another join.
+    """
+    suppliers = source(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nations = source(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     return (
-        source(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("s_suppkey").alias("l_suppkey"),
-            F.col("s_name").alias("lender"),
-            F.col("n_name").alias("lender_city"),
-            F.col("r_name").alias("lender_state"),
-        )
+        rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(source(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumnsRenamed({"s_name": "lender", "n_name": "lender_city", "r_name": "lender_state"})
     )
 
 
-def _extract(per_supplier: DataFrame, lender_rows: DataFrame, by: list[str]) -> DataFrame:
+def _extract(per_supplier: DataFrame, spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
     rows = (
-        per_supplier.join(lender_rows, "l_suppkey")
+        with_lender(per_supplier, spark, sf_dir)
         .groupBy(*LENDER_ID, *by)
         .agg(
             F.sum("loans").cast("bigint").alias("approved_loans"),
@@ -104,7 +103,7 @@ def _extract(per_supplier: DataFrame, lender_rows: DataFrame, by: list[str]) ->
 
 def lender_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Needs no orders: the lender grain comes from lineitem and supplier alone."""
-    return _extract(_per_supplier(_loans(spark, sf_dir)), lenders(spark, sf_dir), [])
+    return _extract(_per_supplier(_loans(spark, sf_dir)), spark, sf_dir, [])
 
 
 def county_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +119,7 @@ def county_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("project_state")
     )
     grouped = _per_supplier(loans, "c_nationkey", "project_county").join(states, "c_nationkey")
-    return _extract(grouped, lenders(spark, sf_dir), GEOGRAPHY_ID)
+    return _extract(grouped, spark, sf_dir, GEOGRAPHY_ID)
 
 
 def district_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +130,7 @@ def district_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("o_orderpriority", "-", 1).alias("do_code"),
         F.expr("substr(o_orderpriority, instr(o_orderpriority, '-') + 1)").alias("sba_do_name"),
     )
-    return _extract(grouped, lenders(spark, sf_dir), ["do_code", "sba_do_name"])
+    return _extract(grouped, spark, sf_dir, ["do_code", "sba_do_name"])
 
 
 _VIEWS = {
@@ -232,6 +231,13 @@ def flawed_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def raw_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty lender delivery as files; a source the cleaning queries share."""
+    return _once(
+        spark, sf_dir, "raw-delivery", lambda: stored(delivery_view(spark, sf_dir), "raw-delivery")
+    )
+
+
+def delivery_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dirty lender delivery as text, one row per lineitem, with delivery headers.
 
     Text goes missing or comes padded, numbers are junk, negative, padded or
@@ -267,8 +273,7 @@ def raw_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Source Line": F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")),
     }
     return (
-        source(spark, sf_dir, "lineitem")
-        .join(lenders(spark, sf_dir), "l_suppkey")
+        with_lender(source(spark, sf_dir, "lineitem"), spark, sf_dir)
         .select("*", F.explode(emitted).alias("_filled"))
         .select(*[F.when(F.col("_filled"), value).alias(header) for header, value in values.items()])
     )
