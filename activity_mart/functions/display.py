@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def one_decimal(value: Column) -> Column:
-    """A double with one decimal, rounded by its exact binary value.
+def _sign(value: Column) -> Column:
+    return F.when(value < 0, "-").otherwise("")
+
 
-    A double printed as 10.85 is really a little below or above the tie. Twentieths
-    decide: an even count is no tie, and for an odd one ``20 * value`` is compared
-    with it in two steps (16 + 4) that lose no bit.
+def _tenths(size: Column) -> Column:
+    """A non-negative double as text with one decimal, rounded by its exact binary value.
+
+    A double printed as 10.85 is really a little below or above the tie. Where ten
+    times the value looks like a tie, the error of that product (8 + 2 times the
+    value, computed without loss) tells which side the value is on.
     """
-    size = F.abs(value)
-    twentieths = F.rint(size * 20.0)
-    excess = (size * 16.0 - twentieths) + size * 4.0
-    half = twentieths.cast("bigint")
-    low = F.call_function("div", half, F.lit(2))
-    up = (half % 2 == 1) & ((excess > 0) | ((excess == 0) & (low % 2 == 1)))
-    tenths = low + F.when(up, 1).otherwise(0)
-    return F.concat(
-        F.when(value < 0, "-").otherwise(""),
-        F.call_function("div", tenths, F.lit(10)).cast("string"),
-        F.lit("."),
-        (tenths % 10).cast("string"),
-    )
+    product = size * 10.0
+    error = (size * 8.0 - product) + size * 2.0
+    tie = (product % 1.0 == 0.5).cast("double")
+    rounded = F.rint(product + tie * F.signum(error) * 0.25)
+    return (rounded.cast("decimal(20,0)") * F.lit(Decimal("0.1"))).cast("string")
 
 
-def whole(value: Column) -> Column:
-    """A double as a whole number, half to even, no separators."""
-    return F.rint(value).cast("bigint").cast("string")
+def one_decimal(value: Column) -> Column:
+    """A double with one decimal, rounded by its exact binary value."""
+    return F.concat(_sign(value), _tenths(F.abs(value)))
 
 
 def thousands(value: Column) -> Column:
@@ -42,12 +40,12 @@ def money_short(value: Column) -> Column:
     """``$31.1B``, ``$2.5M``, ``$443K``, ``$950``: scale chosen by absolute value."""
     amount = value.cast("double")
     size = F.abs(amount)
-    return (
-        F.when(size >= 1e9, F.concat(F.lit("$"), one_decimal(amount / 1e9), F.lit("B")))
-        .when(size >= 1e6, F.concat(F.lit("$"), one_decimal(amount / 1e6), F.lit("M")))
-        .when(size >= 1e3, F.concat(F.lit("$"), whole(amount / 1e3), F.lit("K")))
-        .when(size.isNotNull(), F.concat(F.lit("$"), thousands(amount)))
+    scaled = size / F.when(size >= 1e9, 1e9).when(size >= 1e6, 1e6).when(size >= 1e3, 1e3).otherwise(1.0)
+    digits = F.when(size >= 1e6, _tenths(scaled)).when(
+        size >= 1e3, F.rint(scaled).cast("bigint").cast("string")
     )
+    letter = F.when(size >= 1e9, "B").when(size >= 1e6, "M").when(size >= 1e3, "K").otherwise("")
+    return F.concat(F.lit("$"), _sign(amount), F.coalesce(digits, thousands(size)), letter)
 
 
 def percent_one(value: Column) -> Column:

@@ -29,14 +29,15 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int, kind: T.D
     """``numerator / denominator`` rounded half away from zero, null on a zero denominator.
 
     Integer division of the scaled amounts keeps the rounding exact however
-    large the totals grow; a plain decimal division would round twice.
+    large the totals grow; a plain decimal division would round twice. A result
+    too large for ``kind`` is null.
     """
     base = F.abs(null_if_zero(denominator))
     doubled = F.abs(numerator) * F.lit(2 * 10**digits) + base
     units = F.call_function("div", doubled, base * F.lit(2))
-    negative = (numerator < 0) != (denominator < 0)
+    sign = F.when((numerator < 0) != (denominator < 0), -1).otherwise(1)
     unit = F.lit(Decimal(1).scaleb(-digits))
-    return (F.when(negative, -units).otherwise(units).cast("decimal(20,0)") * unit).cast(kind)
+    return ((units * sign).cast("decimal(20,0)") * unit).try_cast(kind)
 
 
 def rounded_percent(part: Column, whole: Column, kind: T.DecimalType) -> Column:

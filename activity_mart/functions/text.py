@@ -18,7 +18,10 @@ _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 def strip_text(value: Column) -> Column:
     """Trim every kind of white space, not only spaces; null stays null."""
-    return F.btrim(value.cast("string"), F.lit(WHITE_SPACE))
+    text = value.cast("string")
+    # Trimming a custom character set scans the whole value, so only touch padded ones.
+    padded = F.substring(text, 1, 1).isin(*WHITE_SPACE) | F.substring(text, -1, 1).isin(*WHITE_SPACE)
+    return F.when(padded, F.btrim(text, F.lit(WHITE_SPACE))).otherwise(text)
 
 
 def snake_case(name: str) -> str:

@@ -88,12 +88,16 @@ def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> Da
 
 
 def round_amounts(rows: DataFrame) -> DataFrame:
-    """Half-even: loan counts to whole numbers, money to cents."""
+    """Half-even: loan counts to whole numbers, money to cents.
+
+    A number too large for its column becomes null, which the null check reports;
+    one absurd row must not end the job.
+    """
     return rows.withColumns(
         {
-            "approved_loans": F.bround("approved_loans", 0).cast("bigint"),
-            "approved_dollars": F.bround("approved_dollars", 2).cast(MONEY),
-            "approved_sba_guaranty_dollars": F.bround("approved_sba_guaranty_dollars", 2).cast(MONEY),
+            "approved_loans": F.bround("approved_loans", 0).try_cast("bigint"),
+            "approved_dollars": F.bround("approved_dollars", 2).try_cast(MONEY),
+            "approved_sba_guaranty_dollars": F.bround("approved_sba_guaranty_dollars", 2).try_cast(MONEY),
         }
     )
 
@@ -103,10 +107,10 @@ def derive_ratios(rows: DataFrame) -> DataFrame:
     dollars = F.col("approved_dollars")
     return rows.withColumns(
         {
-            "avg_loan_size": F.bround(dollars / null_if_zero(F.col("approved_loans")), 2).cast(MONEY),
+            "avg_loan_size": F.bround(dollars / null_if_zero(F.col("approved_loans")), 2).try_cast(MONEY),
             "guaranty_rate_pct": F.bround(
                 F.col("approved_sba_guaranty_dollars") * F.lit(100) / null_if_zero(dollars), 2
-            ).cast(PERCENT),
+            ).try_cast(PERCENT),
         }
     )
 
@@ -156,10 +160,10 @@ def cleaning_log(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
         F.count_if(kept & ~passed).alias("rows_rejected"),
         *[F.count_if(kept & F.col(c).isNull()).alias(f"missing_{c}") for c in spec.required],
     )
+    # The ratios follow from the amounts, so rows that agree before them agree after.
+    duplicates = surplus_rows(round_amounts(valid_rows(tagged)))
     return counts.select(
-        F.lit(spec.name).alias("source_table"),
-        "*",
-        surplus_rows(clean(tagged)).scalar().alias("duplicate_rows"),
+        F.lit(spec.name).alias("source_table"), "*", duplicates.scalar().alias("duplicate_rows")
     )
 
 

@@ -151,9 +151,10 @@ def top_lender_dollars(
     narrow the ranking. The cut value is found by a bounded top-n; every name that
     reaches it then counts, however many tie.
     """
-    where = _keep(where or {}, ["lender_name"])
+    where = dict(where or {})
     groups = _without(by, ["lender_name"])
-    names = base_measures(star, [*groups, "lender_name"], where).select(*groups, "lender_name", DOLLARS)
+    every_name = _keep(where, ["lender_name"])
+    names = base_measures(star, [*groups, "lender_name"], every_name).select(*groups, "lender_name", DOLLARS)
     if not groups:
         cut = names.orderBy(F.desc(DOLLARS)).limit(n).agg(F.min(DOLLARS))
         kept = names.where(F.col(DOLLARS) >= cut.scalar())

@@ -20,5 +20,6 @@ def local_session(app_name: str = "activity-mart", cpus: int | str = 8) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

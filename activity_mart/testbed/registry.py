@@ -138,6 +138,12 @@ def _on_analytics(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(analytics.run_analytics(tables.extracts(spark, sf_dir)))
 
 
+def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.kpi_summary(
+        tables.lender_extract(spark, sf_dir), tables.county_extract(spark, sf_dir)
+    )
+
+
 # --- star schema and measures ----------------------------------------------------
 
 
@@ -354,12 +360,15 @@ def rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def money_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("o_totalprice").cast(MONEY)
-    return tables.source(spark, sf_dir, "orders").select(
+    amounts = tables.source(spark, sf_dir, "orders").select(
         "o_orderkey",
-        display.money_short(F.col("o_custkey")).alias("small"),
-        display.money_short(price).alias("thousands"),
-        display.money_short(price * 100).alias("millions"),
-        display.money_short(price * -100000).alias("billions"),
+        F.col("o_custkey").alias("small"),
+        price.alias("thousands"),
+        (price * 100).alias("millions"),
+        (price * -100000).alias("billions"),
+    )
+    return amounts.withColumns(
+        {name: display.money_short(F.col(name)) for name in amounts.columns if name != "o_orderkey"}
     )
 
 
@@ -411,7 +420,7 @@ QUERIES: dict[str, Query] = {
     "stg_lender": _on_lenders(staging.stage_lender),
     "stg_county": stg_county,
     "stg_district": _on_districts(staging.stage_district),
-    "kpi_summary": _on_counties(lambda counties, lenders: analytics.kpi_summary(lenders, counties)),
+    "kpi_summary": kpi_summary,
     "top10_share": _on_lenders(analytics.top_share),
     "top_lenders": _on_lenders(analytics.top_lenders),
     "state_activity": _on_counties(analytics.state_activity),
@@ -426,8 +435,8 @@ QUERIES: dict[str, Query] = {
     "state_metrics": _on_counties(lambda rows, _: analytics.state_metrics(staging.stage_county(rows))),
     "executive_kpis": _on_star(lambda star: analytics.executive_kpis(star.fact)),
     "headline_facts": _on_analytics(lambda found: insight.headline_facts(found, "Lending", "FY2024")),
-    "completion_line": _on_analytics(lambda found: insight.completion_line(found["kpi_summary"])),
-    "kpi_cards": _on_analytics(lambda found: insight.kpi_cards(found["kpi_summary"])),
+    "completion_line": lambda s, d: insight.completion_line(kpi_summary(s, d)),
+    "kpi_cards": lambda s, d: insight.kpi_cards(kpi_summary(s, d)),
     "ranked_bars": _on_analytics(insight.ranked_bars),
     "dim_lender": _on_lenders(star_schema.dim_lender),
     "dim_geography": dim_geography,
