@@ -12,7 +12,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import (
+    COUNTY_EXTRACT,
+    DISTRICT_EXTRACT,
     GEOGRAPHY_ID,
+    LENDER_EXTRACT,
     LENDER_ID,
     MONEY,
     MONEY_TOTAL,
@@ -255,13 +258,13 @@ def executive_kpis(fact: DataFrame) -> DataFrame:
 
 def run_analytics(extracts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All named queries over the three cleaned extracts."""
-    lenders = extracts["sba_lender_activity"]
-    counties = extracts["sba_lender_county_activity"]
+    lenders = extracts[LENDER_EXTRACT.name]
+    counties = extracts[COUNTY_EXTRACT.name]
     return {
         "kpi_summary": kpi_summary(lenders, counties),
         "top_lenders": top_lenders(lenders),
         "project_state_activity": state_activity(counties, lenders),
         "county_concentration": county_concentration(counties, lenders),
         "lender_geographic_reach": geographic_reach(lenders, counties),
-        "district_office_activity": office_activity(extracts["sba_district_office_activity"]),
+        "district_office_activity": office_activity(extracts[DISTRICT_EXTRACT.name]),
     }

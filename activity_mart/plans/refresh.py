@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_mart.contracts import EXTRACTS, ExtractSpec
+from activity_mart.contracts import COUNTY_EXTRACT, EXTRACTS, LENDER_EXTRACT, ExtractSpec
 from activity_mart.operators.cleaning import REASON, clean, cleaning_log, quarantine, tag
 from activity_mart.operators.expectations import assert_quality, quality_report
 from activity_mart.operators.star import Star, build_star
@@ -64,10 +64,9 @@ def refresh(
     ]
     log = write_table(reduce(DataFrame.unionByName, logs), f"{out}/quality/cleaning_log")
 
-    names = list(specs)
     star = build_star(
-        cleaned[names[0]],
-        cleaned[names[1]],
+        cleaned[LENDER_EXTRACT.name],
+        cleaned[COUNTY_EXTRACT.name],
         state_regions(spark),
         save=lambda df, name, partition_by=None: write_table(
             df, f"{out}/warehouse/{name}", partition_by=partition_by
