@@ -881,7 +881,7 @@ QUERIES = {
                CASE WHEN round(balance) < 0 THEN '(' ELSE '' END || '$'
                    || format('{{:,}}', CAST(abs(round(balance)) AS BIGINT))
                    || CASE WHEN round(balance) < 0 THEN ')' ELSE '' END AS currency,
-               CAST(CAST(round(balance / 100, 2) AS DECIMAL(28,2)) AS VARCHAR) || '%' AS fraction_percent
+               CAST({hundredths(half_up(cents('balance'), '10000'), 'DECIMAL(28,2)')} AS VARCHAR) || '%' AS fraction_percent
         FROM (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer)""",
 }
 
