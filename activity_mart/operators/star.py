@@ -14,6 +14,7 @@ from activity_mart.contracts import (
     DIM_LENDER,
     FACT,
     FISCAL_YEAR_START_MONTH,
+    REPORTING_PERIOD,
     UNKNOWN_REGION,
 )
 from activity_mart.operators.keys import dense_key, require_unique
@@ -121,7 +122,12 @@ def fact_inner(
 ) -> DataFrame:
     """Only county rows whose lender, place and period all have a dimension row."""
     joined = _fact_joins(counties, lenders, geographies, "inner")
-    return joined.join(dates.select("date_key", "reporting_period"), "reporting_period").to(FACT)
+    if "reporting_period" in counties.columns:
+        return joined.join(dates.select("date_key", "reporting_period"), "reporting_period").to(FACT)
+    # One default period for all rows: joining on a constant would be a cross join.
+    current = dates.where(F.col("reporting_period") == F.lit(REPORTING_PERIOD).cast("date"))
+    keyed = joined.withColumn("date_key", current.select("date_key").scalar())
+    return keyed.where(F.col("date_key").isNotNull()).to(FACT)
 
 
 def build_star(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from activity_mart.contracts import INVALID, LENDER_EXTRACT, MISSING, REJECTS
 from activity_mart.operators import cleaning
 from activity_mart.sources.readers import normalize_columns
+from activity_mart.testbed import tables
 
 GOOD = ("Alpha Bank", "Austin", "TX", "4", "2000000", "1500000")
 
@@ -169,3 +170,13 @@ def test_driver_dirt_counts(spark):
     tagged = cleaning.tag(rows, LENDER_EXTRACT)
     found = {r.rejection_reason: r["count"] for r in tagged.groupBy("rejection_reason").count().collect()}
     assert found == {None: 58250, INVALID: 581, MISSING: 1169}
+
+
+def test_every_delivered_row_is_accounted_for(spark, sf_dir):
+    log = cleaning.cleaning_log(
+        cleaning.tag(tables.raw_delivery(spark, sf_dir), LENDER_EXTRACT), LENDER_EXTRACT
+    ).first()
+    blank = log.raw_rows - log.rows_after_blank_drop
+    assert blank > 0 and log.rows_rejected > 0
+    assert log.clean_rows + log.rows_rejected + blank == log.raw_rows
+    assert log.rows_removed == log.rows_rejected + blank

@@ -5,6 +5,7 @@ import json
 
 import frames
 import pytest
+import run_refresh
 from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import types as T
 
@@ -123,3 +124,11 @@ def test_refresh_gate_raises_after_writing(spark, tmp_path):
     with pytest.raises(QualityGateError, match="guaranty_not_above_approved"):
         refresh(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out/analytics/kpi_summary")).count() == 1
+
+
+def test_the_job_reports_and_returns_an_exit_code(spark, tmp_path, capsys):
+    deliver(tmp_path / "good", ["Alpha,Austin,TX,4,200.00,150.00", "Beta,Miami,FL,2,40,30"])
+    assert run_refresh.main([str(tmp_path / "good"), str(tmp_path / "out1")]) == 0
+    assert "$240 approved across 6 loans" in capsys.readouterr().out
+    deliver(tmp_path / "bad", ["Alpha,Austin,TX,4,200.00,250.00", "Beta,Miami,FL,2,40,30"])
+    assert run_refresh.main([str(tmp_path / "bad"), str(tmp_path / "out2")]) == 1

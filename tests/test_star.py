@@ -66,6 +66,8 @@ def test_unmatched_lender_is_null_on_the_left_and_gone_inside(spark, star):
     assert left.schema == inner.schema == FACT
     assert left.count() == 4 and left.where("lender_key IS NULL").count() == 1
     assert inner.count() == 3
+    other = star.dim_date.withColumn("reporting_period", F.lit("2023-09-30").cast("date"))
+    assert star_schema.fact_inner(counties, star.dim_lender, star.dim_geography, other).isEmpty()
 
 
 def test_fact_refuses_a_dimension_with_repeated_keys(spark, star):
