@@ -19,7 +19,7 @@ from activity_mart.contracts import (
 )
 from activity_mart.operators.keys import dense_key, require_unique
 from activity_mart.plans.staging import stage_county, stage_lender
-from activity_mart.sources.store import stored
+from activity_mart.sources.store import side_by_side, stored
 
 
 @dataclass(frozen=True)
@@ -142,9 +142,14 @@ def build_star(
     ``lenders`` and ``counties`` are read several times, so hand in tables, not
     long plans. The dimensions are distinct by construction and need no guard.
     """
-    lender_table = save(dim_lender(lenders), "dim_lender")
-    geography_table = save(dim_geography(counties, regions), "dim_geography")
-    date_table = save(dim_date(stage_county(counties), fiscal_start), "dim_date")
-    fact = fact_left(counties, lender_table, geography_table, validate=False)
+    dims = side_by_side(
+        counties.sparkSession,
+        {
+            "dim_lender": lambda: save(dim_lender(lenders), "dim_lender"),
+            "dim_geography": lambda: save(dim_geography(counties, regions), "dim_geography"),
+            "dim_date": lambda: save(dim_date(stage_county(counties), fiscal_start), "dim_date"),
+        },
+    )
+    fact = fact_left(counties, dims["dim_lender"], dims["dim_geography"], validate=False)
     fact_table = save(fact, "fact_lending_activity", partition_by=["date_key"])
-    return Star(fact_table, lender_table, geography_table, date_table)
+    return Star(fact_table, **dims)

@@ -15,7 +15,7 @@ from activity_mart.operators.star import Star, build_star
 from activity_mart.plans.analytics import run_analytics
 from activity_mart.sources.readers import read_extracts, state_regions
 from activity_mart.sources.sinks import register_views, write_table, write_tables
-from activity_mart.sources.store import stored
+from activity_mart.sources.store import side_by_side, stored
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,16 @@ def refresh(
     raw = read_extracts(spark, specs, root, fmt)
     # The delivery is parsed once; clean rows, rejects and log read the tagged copy,
     # each only its own partitions.
-    tagged = {
-        specs[name]: stored(tag(rows, specs[name]), f"tagged-{name}", partition_by=[REASON])
-        for name, rows in raw.items()
-    }
+    parsed = side_by_side(
+        spark,
+        {
+            name: lambda name=name, rows=rows: stored(
+                tag(rows, specs[name]), f"tagged-{name}", partition_by=[REASON]
+            )
+            for name, rows in raw.items()
+        },
+    )
+    tagged = {specs[name]: rows for name, rows in parsed.items()}
     cleaned = write_tables({spec.name: clean(rows) for spec, rows in tagged.items()}, f"{out}/processed")
     rejected = write_table(quarantine(tagged), f"{out}/quality/rejected_records")
     logs = [

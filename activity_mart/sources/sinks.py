@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from activity_mart.sources.readers import read_extract
+from activity_mart.sources.store import side_by_side
 
 
 def write_table(
@@ -31,7 +32,15 @@ def write_table(
 def write_tables(
     frames: dict[str, DataFrame], root: str, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    return {name: write_table(df, f"{root}/{name}", fmt) for name, df in frames.items()}
+    """Overwrite ``root/<name>`` for every frame; the frames do not depend on each other."""
+    spark = next(iter(frames.values())).sparkSession
+    return side_by_side(
+        spark,
+        {
+            name: lambda name=name, df=df: write_table(df, f"{root}/{name}", fmt)
+            for name, df in frames.items()
+        },
+    )
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,3 +44,10 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def side_by_side(spark: SparkSession, writes: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run writes that do not depend on each other as concurrent Spark jobs."""
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(write)) for name, write in writes.items()}
+        return {name: job.result() for name, job in started.items()}

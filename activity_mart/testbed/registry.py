@@ -28,7 +28,7 @@ from activity_mart.operators import star as star_schema
 from activity_mart.plans import analytics, insight, pages, staging
 from activity_mart.sources.readers import load_csv, normalize_columns, read_extracts, typed_import
 from activity_mart.sources.sinks import write_table
-from activity_mart.sources.store import new_path
+from activity_mart.sources.store import new_path, side_by_side, stored
 from activity_mart.testbed import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,9 +263,15 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = pages.quality_page(
-        tables.flawed_star(spark, sf_dir), quality_report(spark, sf_dir), quarantine_union(spark, sf_dir)
+    # The page counts and lists both tables, so each is written once and read twice.
+    written = side_by_side(
+        spark,
+        {
+            "report": lambda: stored(quality_report(spark, sf_dir), "quality-report"),
+            "rejected": lambda: stored(quarantine_union(spark, sf_dir), "rejected"),
+        },
     )
+    page = pages.quality_page(tables.flawed_star(spark, sf_dir), **written)
     labels = {
         "fact_rows": "Fact Rows",
         "failed_checks": "Failed Data Quality Checks",

@@ -28,15 +28,18 @@ from activity_mart.contracts import (
 )
 from activity_mart.operators.cleaning import derive_ratios
 from activity_mart.operators.star import Star, build_star
-from activity_mart.sources.store import stored
+from activity_mart.sources.store import side_by_side, stored
 
 _built: dict[tuple[str, str, str], object] = {}
-_lock = threading.RLock()
+_locks: dict[tuple[str, str, str], threading.Lock] = {}
+_guard = threading.Lock()
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
     key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
-    with _lock:
+    with _guard:
+        lock = _locks.setdefault(key, threading.Lock())
+    with lock:
         if key not in _built:
             _built[key] = build()
         return _built[key]
@@ -44,7 +47,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], objec
 
 def forget() -> None:
     """Build every table anew from here on."""
-    with _lock:
+    with _guard:
         _built.clear()
 
 
@@ -157,7 +160,9 @@ def district_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: extract(spark, sf_dir, name) for name in _VIEWS}
+    return side_by_side(
+        spark, {name: lambda name=name: extract(spark, sf_dir, name) for name in _VIEWS}
+    )
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +218,13 @@ def flawed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         tables[LENDER_EXTRACT.name] = tables[LENDER_EXTRACT.name].withColumn(
             "lender", F.coalesce(renamed, "lender")
         )
-        return {name: stored(rows, f"flawed-{name}") for name, rows in tables.items()}
+        return side_by_side(
+            spark,
+            {
+                name: lambda name=name, rows=rows: stored(rows, f"flawed-{name}")
+                for name, rows in tables.items()
+            },
+        )
 
     return _once(spark, sf_dir, "flawed-extracts", build)
 
