@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_mart.llm import byte_pair, kneser_ney, packing, rules, sharding, token_counts
+from activity_mart.llm import byte_pair, collisions, kneser_ney, packing, rules, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": byte_pair.op1_byte_pairs,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_kneser_ney": kneser_ney.op4_kneser_ney,
+    "op6_collision_counting": collisions.op6_collision_counting,
     "op8_bin_completion": packing.op8_bin_completion,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_kd_shards": sharding.op10_kd_shards,
