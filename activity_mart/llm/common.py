@@ -143,3 +143,28 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_0
             size += length or 0
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+SLOTS = 1 << 20
+
+
+def slot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SLOTS))
+
+
+def slots(ids: DataFrame, column: str) -> DataFrame:
+    """The hash slots that the ids fall in: ``SLOTS`` rows at most, so that it may be broadcast.
+
+    A semi join with them lets through every row of these ids and few others, before the
+    shuffle of an exact join; with more ids than slots it lets through more.
+    """
+    return ids.select(slot(column).alias("_slot")).distinct()
+
+
+def without_ids(rows: DataFrame, dropped: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Rows whose id is not among the dropped ones; only rows in their slots are shuffled."""
+    full = F.broadcast(slots(dropped, column))
+    placed = rows.withColumn("_slot", slot(column))
+    clear = placed.join(full, "_slot", "left_anti").drop("_slot")
+    doubtful = placed.join(full, "_slot", "left_semi").drop("_slot")
+    return clear.unionByName(doubtful.join(dropped.select(column), column, "left_anti"))
