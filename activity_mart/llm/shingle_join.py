@@ -31,8 +31,8 @@ WORDS, PERCENT = 4, 85
 TEXT_CHUNK = 1_000_000
 # Coordinates of a point, points in a box, nodes of a bucket that meet at once.
 COORDINATES, BOX, BLOCK = 256, 32, 512
-# Rounds of hashing for nodes that have empty groups.
-LEVELS = 4
+# Rounds of hashing for nodes that have many empty groups; one in so many groups may be empty.
+LEVELS, SPARE_OF = 4, 20
 SENT_TOGETHER = 1_000_000
 
 _U = np.uint64
@@ -118,8 +118,11 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
     own = int(np.searchsorted(ends, n))
     made = []
     for family in (own, own + 1):
-        # Linked sets of these classes differ in at most so many shingles.
-        groups = int(2 * ends[family] * (100 - percent) // (100 + percent)) + 1
+        # Linked sets of these classes differ in at most so many shingles. With some groups more,
+        # they agree in one that isn't empty unless more than ``spare`` groups are empty in both.
+        differ = int(2 * ends[family] * (100 - percent) // (100 + percent))
+        spare = differ // SPARE_OF + 2 if differ else 0
+        groups = differ + 1 + spare
         ordered = shingles
         for level in range(LEVELS):
             if level:
@@ -130,9 +133,9 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
             filled = edges[1:] > edges[:-1]
             named = mix(_U((family * LEVELS + level) << 32) + np.arange(groups, dtype=_U))
             digest = mix((upto[edges[1:]] - upto[edges[:-1]]) ^ named)
-            # Two sets that agree in empty groups alone both go on to the next level.
+            # Two sets that agree in empty groups alone both go on to the next level, with other groups.
             made.append(digest if level == LEVELS - 1 else digest[filled])
-            if filled.all():
+            if groups - filled.sum() <= spare:
                 break
     return np.concatenate(made)
 
