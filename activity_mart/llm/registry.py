@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_mart.llm import byte_pair, collisions, kneser_ney, packing, rules, sharding, shingle_join, token_counts
+from activity_mart.llm import byte_pair, chunk_dedup, collisions, kneser_ney, packing, rules, sharding, shingle_join, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": byte_pair.op1_byte_pairs,
     "op2_shingle_join": shingle_join.op2_shingle_join,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_kneser_ney": kneser_ney.op4_kneser_ney,
+    "op5_chunk_dedup": chunk_dedup.op5_chunk_dedup,
     "op6_collision_counting": collisions.op6_collision_counting,
     "op8_bin_completion": packing.op8_bin_completion,
     "op9_token_counts": token_counts.op9_token_counts,
