@@ -1,7 +1,7 @@
 """Operator 5: substring dedup by content-defined chunks.
 
 A gear rolling hash over the words, folded to lower case and one space apart, cuts a text after a
-word where two bits of the hash are zero. The bits depend on the last bytes alone, so a passage is
+word where one bit of the hash is zero. It depends on the last ten bytes alone, so a passage is
 cut alike wherever it stands and whatever was inserted before it. A chain of chunks has a digest;
 a chain that an earlier document (by ``doc_id``) holds too is repeated. Runs of repeated
 chains of at least ``MIN_WORDS`` words are taken out of all documents but the first.
@@ -20,15 +20,15 @@ from pyspark.sql import types as T
 from activity_mart.llm.common import ship, slot, slots, stored, table, text_chunks, text_of
 from activity_mart.llm.shingle_join import _SPACE, TEXT_CHUNK, mix, word_digests
 
-# A chunk has four words on average. Three chunks in a row name a place.
-CUT_BITS, CHAIN = 2, 3
+# A chunk has two words on average. Six chunks in a row name a place.
+CUT_BITS, CHAIN = 1, 6
 MOST_WORDS = 16
 # What is left of a passage of over 50 words once the chunks at its two ends, which share
 # words with the text around it, are gone.
-MIN_WORDS = 25
+MIN_WORDS = 38
 _U = np.uint64
 _GEAR = mix(np.arange(1001, 1257, dtype=_U)).astype(np.uint32)
-_SHIFT = np.uint32(18)
+_SHIFT = np.uint32(9)
 
 
 def gear(data: np.ndarray) -> np.ndarray:
