@@ -25,7 +25,7 @@ CUT_BITS, CHAIN = 1, 6
 MOST_WORDS = 16
 # What is left of a passage of over 50 words once the chunks at its two ends, which share
 # words with the text around it, are gone.
-MIN_WORDS = 38
+MIN_WORDS = 30
 _U = np.uint64
 _GEAR = mix(np.arange(1001, 1257, dtype=_U)).astype(np.uint32)
 _SHIFT = np.uint32(9)
