@@ -22,7 +22,7 @@ from activity_mart.llm.shingle_join import _SPACE, TEXT_CHUNK, mix, word_digests
 
 # A chunk has two words on average. Six chunks in a row name a place.
 CUT_BITS, CHAIN = 1, 6
-MOST_WORDS = 16
+MOST_WORDS = 6
 # What is left of a passage of over 50 words once the chunks at its two ends, which share
 # words with the text around it, are gone.
 MIN_WORDS = 30

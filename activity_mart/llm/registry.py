@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_mart.llm import byte_pair, chunk_dedup, collisions, kneser_ney, packing, rules, sharding, shingle_join, token_counts
+from activity_mart.llm import byte_pair, chunk_dedup, collisions, context_tree, kneser_ney, packing, rules, sharding, shingle_join, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": byte_pair.op1_byte_pairs,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_kneser_ney": kneser_ney.op4_kneser_ney,
     "op5_chunk_dedup": chunk_dedup.op5_chunk_dedup,
     "op6_collision_counting": collisions.op6_collision_counting,
+    "op7_context_tree": context_tree.op7_context_tree,
     "op8_bin_completion": packing.op8_bin_completion,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_kd_shards": sharding.op10_kd_shards,
