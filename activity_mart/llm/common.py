@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,9 +14,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from activity_mart.sources.store import new_path, stored
+from activity_mart.sources.store import new_path
+from activity_mart.sources.store import stored as _stored
 
-__all__ = ["components", "drop_table", "new_path", "numbered", "parts_of", "ship", "stored", "table", "text_chunks", "text_of"]
+__all__ = ["components", "drop_folder", "drop_table", "folders", "new_path", "recorded", "numbered", "parts_of", "ship", "stored", "table", "text_chunks", "text_of"]
 
 
 _PACKAGE = Path(__file__).resolve().parents[1]
@@ -47,13 +49,40 @@ def parts_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_records: list[list[DataFrame]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables stored inside the block, for the caller to drop once nothing reads them."""
+    _records.append([])
+    try:
+        yield _records[-1]
+    finally:
+        _records.pop()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: a lost executor costs a read, not the work before."""
+    kept = _stored(df, label)
+    for record in _records:
+        record.append(kept)
+    return kept
+
+
+def folders(df: DataFrame) -> set[str]:
+    return {file.rpartition("/")[0] for file in df.inputFiles()}
+
+
 def drop_table(df: DataFrame) -> None:
     """Remove the files under a stored table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in folders(df):
+        drop_folder(df.sparkSession, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, key: str, order: list[str], name: str, label: str) -> DataFrame:

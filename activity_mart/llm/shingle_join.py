@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from activity_mart.llm.common import components, drop_table, ship, slot, slots, stored, table, text_chunks, text_of
+from activity_mart.llm.common import components, drop_table, ship, slot, slots, stored, table, text_chunks, text_of, without_ids
 
 WORDS, PERCENT = 4, 85
 TEXT_CHUNK = 1_000_000
@@ -363,5 +363,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 
+def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` that have their component's smallest id, with all their columns.
+
+    Of rows with equal id and text one stays. Rows without id stay.
+    """
+    found = stored(near_duplicates(docs, words, percent), "near-duplicates")
+    kept = without_ids(docs, found.filter("doc_id <> component_id").select("doc_id").distinct())
+    again = stored(found.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return without_ids(kept, again).unionByName(repeated)
+
+
 def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
