@@ -123,11 +123,11 @@ class BytePairs:
         if len(self.known) > REMEMBERED_UNITS:
             self.known.clear()
         cut = [UNIT.findall(t) for t in texts]
-        if new := list({u for units in cut for u in units if u not in self.known}):
+        if new := list(set().union(*cut) - self.known.keys()):
             for at in range(0, len(new), 20_000):
                 self._learn(new[at : at + 20_000])
         known = self.known
-        return [b"".join([known[u] for u in units]) for units in cut]
+        return [b"".join(map(known.__getitem__, units)) for units in cut]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""

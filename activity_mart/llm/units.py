@@ -3,7 +3,7 @@
 Byte-level BPE after the usual splitting pattern, and the lower-casing word BPE, never join
 characters across the start of a run of white space. A text can therefore be cut there into
 units, and a unit's ids are the same wherever it stands. A worker remembers the ids of units it
-has met, up to a fixed number of units, and gives only new ones to the library.
+has met, up to a fixed number (some 300 MB), and gives only new ones to the library.
 """
 
 from __future__ import annotations
@@ -18,7 +18,13 @@ import numpy as np
 
 # Unicode white space.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-REMEMBERED_UNITS = 250_000
+REMEMBERED_UNITS, REMEMBERED_PARTS = 400_000, 1_200_000
+WORD_UNITS = f"[^{SPACE}]+"
+CONTROLS = re.compile("[\x1c-\x1f]")
+# Units of plain Latin letters, digits and marks, which the word BPE's rules split into these parts. An
+# apostrophe may take a letter with it, and a special token is found before splitting.
+PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -42,6 +48,13 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.units = self._units(path)
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        suffix = self._word_end(path)
+        self.ends_word = None
+        if suffix and self.units:
+            tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends_word = np.zeros(max(tokens.values()) + 1, dtype=bool)
+            self.ends_word[[i for t, i in tokens.items() if t.endswith(suffix)]] = True
 
     @staticmethod
     def _units(path: str):
@@ -61,9 +74,33 @@ class UnitEncoder:
         first = (split.get("pretokenizers") or [{}])[0]
         words_only = first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
         if steps == ["NFC", "Replace", "Lowercase"] and words_only and "[^\\s" in first["pattern"]["Regex"]:
-            return re.compile(f"[^{SPACE}]+")
+            return re.compile(WORD_UNITS)
         return None
 
+    @staticmethod
+    def _word_end(path: str) -> str | None:
+        with open(path, encoding="utf-8") as file:
+            return json.load(file)["model"].get("end_of_word_suffix")
+
+    def _learn_words(self, units: list[str]) -> list[str]:
+        """Put plain units among the known ones; the others are returned.
+
+        Their parts are single words to the tokenizer, so many go to the library as one text, whose
+        ids are cut again after each id that ends a word.
+        """
+        cut = {u: PARTS.findall(u.lower()) for u in units if "<|" not in u and PLAIN.fullmatch(u)}
+        new = list({p for parts in cut.values() for p in parts if p not in self.parts})
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer splits words that its rules don't")
+            data = ids.tobytes()
+            self.parts.update(zip(some, [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], strict=True))
+        self.known.update((u, b"".join([self.parts[p] for p in parts])) for u, parts in cut.items())
+        return [u for u in units if u not in cut]
+
     def _ids(self, encoding) -> bytes:
         return np.array(encoding.ids, dtype="<u4").tobytes()
 
@@ -71,14 +108,19 @@ class UnitEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self.units is None:
             return [self._ids(self.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
-        cut = [self.units.findall(t) for t in texts]
+        # str.split parts a text at white space as SPACE has it, and at four control characters besides.
+        spaced = self.units.pattern == WORD_UNITS
+        cut = [t.split() if spaced and not CONTROLS.search(t) else self.units.findall(t) for t in texts]
         known = self.known
         if len(known) > REMEMBERED_UNITS:
             known.clear()
-        new = iter({u for units in cut for u in units if u not in known})
+        if len(self.parts) > REMEMBERED_PARTS:
+            self.parts.clear()
+        unknown = list(set().union(*cut) - known.keys())
+        new = iter(self._learn_words(unknown) if self.ends_word is not None else unknown)
         while part := list(islice(new, 5_000)):
             known.update(zip(part, map(self._ids, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        return [b"".join([known[u] for u in units]) for units in cut]
+        return [b"".join(map(known.__getitem__, units)) for units in cut]
 
 
 @functools.lru_cache(maxsize=4)
