@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from activity_mart.llm.common import components, drop_table, ship, slot, slots, stored, table, text_chunks, text_of, without_ids
+from activity_mart.llm.common import components, drop_table, parts_of, ship, slot, slots, stored, table, text_chunks, text_of, without_ids
 
 WORDS, PERCENT = 4, 85
 TEXT_CHUNK = 1_000_000
 # Coordinates of a point, points in a box, nodes of a bucket that meet at once.
 COORDINATES, BOX, BLOCK = 256, 32, 512
 # Rounds of hashing for nodes that have many empty groups; one in so many groups may be empty.
-LEVELS, SPARE_OF = 4, 20
+LEVELS, SPARE_OF = 4, 12
 SENT_TOGETHER = 1_000_000
 
 _U = np.uint64
@@ -148,32 +148,24 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
     return made
 
 
-def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, node, signatures``; a task gives a node's signatures once."""
+def _profiles(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id, n_shingles, node``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[int] = set()
         for batch in text_chunks(batches, "text", TEXT_CHUNK):
-            nodes, sizes, signed = [], [], []
-            for s in shingle_sets(batch["text"].to_pylist(), words):
-                node = node_of(s) if len(s) else None
-                nodes.append(node)
-                sizes.append(len(s))
-                signed.append(signatures(s, percent).view(np.int64) if len(s) and node not in told else None)
-                told.add(node)
-            if len(told) > SENT_TOGETHER:
-                told.clear()
-            columns = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(signed, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "signatures"])
+            sets = shingle_sets(batch["text"].to_pylist(), words)
+            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), nodes], ["doc_id", "n_shingles", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, signatures array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-def _combined(profiles: DataFrame) -> DataFrame:
+def _combined(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``signature, node, lead``: before the shuffle, a task keeps of each signature its first node.
 
     The task's other nodes of that signature are rows that name that node as their lead,
-    one row a pair, under a key of their own, so that no signature gathers them.
+    one row a pair, under a key of their own, so that no signature gathers them. A task signs
+    a node once; signatures are not kept, as they outweigh the texts.
     """
 
     def flush(signature: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
@@ -188,24 +180,29 @@ def _combined(profiles: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["signature", "node", "lead"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, size = [], 0
-        for batch in batches:
-            lists, nodes = batch["signatures"], batch["node"].to_numpy(zero_copy_only=False)
-            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-            kept.append((lists.flatten().to_numpy(), np.repeat(nodes, lengths)))
-            size += len(kept[-1][0])
+        kept, size, told = [], 0, set()
+        for batch in text_chunks(batches, "text", TEXT_CHUNK):
+            for s in shingle_sets(batch["text"].to_pylist(), words):
+                if len(s) and (node := node_of(s)) not in told:
+                    told.add(node)
+                    kept.append((signatures(s, percent).view(np.int64), node))
+                    size += len(kept[-1][0])
             if size > SENT_TOGETHER:
-                yield flush(*(np.concatenate(c) for c in zip(*kept, strict=True)))
+                yield flush(np.concatenate([k for k, _ in kept]), np.repeat([n for _, n in kept], [len(k) for k, _ in kept]))
                 kept, size = [], 0
+            if len(told) > SENT_TOGETHER:
+                told.clear()
         if kept:
-            yield flush(*(np.concatenate(c) for c in zip(*kept, strict=True)))
+            yield flush(np.concatenate([k for k, _ in kept]), np.repeat([n for _, n in kept], [len(k) for k, _ in kept]))
 
-    told = profiles.filter("signatures IS NOT NULL").select("node", "signatures")
-    return told.mapInArrow(run, "signature long, node long, lead long")
+    return docs.select("text").mapInArrow(run, "signature long, node long, lead long")
 
 
 def _sets(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node, shingles`` of the given nodes, made again from one text of each."""
+    """``node, shingles`` of the given nodes, made again from one text of each.
+
+    Some other nodes may be among them, and a node may come twice; neither changes what is joined.
+    """
     wanted = profiles.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = stored(wanted, "join-nodes")
 
@@ -216,8 +213,7 @@ def _sets(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, words: int) ->
             yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
 
     near = docs.withColumn("_slot", slot("doc_id")).join(F.broadcast(slots(wanted, "doc_id")), "_slot", "left_semi")
-    made = near.select("text").mapInArrow(run, "node long, shingles array<long>")
-    return made.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return near.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,35 +234,57 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     side = lambda of, name: sets.select(F.col("node").alias(of), F.col("shingles").alias(name))
     met = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a")
-    return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean")
-
-
-def _search(bucket: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of a bucket's nodes that the R-tree can't rule out, of different components."""
-    a, b = bucket[bucket["block"] == bucket["low"]], bucket[bucket["block"] == bucket["high"]]
-    held = np.stack(b["point"].to_numpy()).astype(np.int32)
-    asking = np.stack(a["point"].to_numpy()).astype(np.int32)
-    total = held.sum(axis=1)
-    # Packed boxes: neighbours in size and then in their strongest group lie together.
-    order = np.lexsort((held.argmax(axis=1), total))
-    held, total, nodes, parts = held[order], total[order], b["node"].to_numpy()[order], b["component"].to_numpy()[order]
-    first = np.arange(0, len(held), BOX)
-    box = np.maximum.reduceat(held, first, axis=0)
-    low, high = total[first], np.maximum.reduceat(total, first)
-    found = []
-    for node, part, point in zip(a["node"].to_numpy(), a["component"].to_numpy(), asking, strict=True):
-        size = point.sum()
-        fits = (100 * high >= percent * size) & (100 * size >= percent * low)
-        fits &= np.minimum(box, point).sum(axis=1) * (100 + percent) >= percent * (size + low)
-        for leaf in np.flatnonzero(fits):
-            own = slice(first[leaf], first[leaf] + BOX)
-            overlap = np.minimum(held[own], point).sum(axis=1)
-            near = (overlap * (100 + percent) >= percent * (size + total[own])) & (parts[own] != part)
-            found += [(min(node, x), max(node, x)) for x in nodes[own][near].tolist()]
-    return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype=np.int64)
-
-
-def _unconnected(profiles: DataFrame, checked: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean").distinct()
+
+
+def _search(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs of nodes of one bucket that the R-tree can't rule out, of different components.
+
+    ``rows`` holds whole meetings of two blocks of a bucket, any number of them.
+    """
+    rows = rows.sort_values(["signature", "low", "high"], kind="stable")
+    node, part = rows["node"].to_numpy(), rows["component"].to_numpy()
+    asks, answers = (rows["block"] == rows["low"]).to_numpy(), (rows["block"] == rows["high"]).to_numpy()
+    point = np.stack(rows["point"].to_numpy()).astype(np.int32)
+    key = rows[["signature", "low", "high"]].to_numpy()
+    edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+    found = set()
+    for start, end in zip(edges[:-1], edges[1:], strict=True):
+        here = np.arange(start, end)
+        held = here[answers[start:end]]
+        total = point[held].sum(axis=1)
+        # Packed boxes: neighbours in size and then in their strongest group lie together.
+        order = np.lexsort((point[held].argmax(axis=1), total))
+        held, total = held[order], total[order]
+        if not len(held):
+            continue
+        first = np.arange(0, len(held), BOX)
+        box = np.maximum.reduceat(point[held], first, axis=0)
+        low, high = total[first], np.maximum.reduceat(total, first)
+        for i in here[asks[start:end]]:
+            size = point[i].sum()
+            fits = (100 * high >= percent * size) & (100 * size >= percent * low)
+            fits &= np.minimum(box, point[i]).sum(axis=1) * (100 + percent) >= percent * (size + low)
+            for leaf in np.flatnonzero(fits):
+                own = held[first[leaf] : first[leaf] + BOX]
+                own = own[part[own] != part[i]]
+                overlap = np.minimum(point[own], point[i]).sum(axis=1)
+                near = overlap * (100 + percent) >= percent * (size + point[own].sum(axis=1))
+                found.update((min(node[i], x), max(node[i], x)) for x in node[own][near].tolist())
+    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
+
+
+def _signed(sets: DataFrame, percent: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = batch["shingles"].values.to_numpy().view(_U), batch["shingles"].offsets.to_numpy()
+            signed = [signatures(values[at[i] : at[i + 1]], percent).view(np.int64) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["component"], pa.array(signed, pa.list_(pa.int64()))], ["node", "component", "signatures"])
+
+    return sets.mapInArrow(run, "node long, component long, signatures array<long>")
+
+
+def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` that share a group but neither a component nor, yet, a comparison.
 
     A bucket whose first comparisons all held is one component. So only components that an
@@ -282,10 +300,8 @@ def _unconnected(profiles: DataFrame, checked: DataFrame, parts: DataFrame, sets
         .unionByName(parts.join(touched, "component", "left_semi").select("node", "component"))
     )
     in_doubt = stored(in_doubt.distinct(), "join-doubt")
-    # Few nodes are in doubt, so their signatures can be taken apart again.
-    some = profiles.filter("signatures IS NOT NULL").select("node", "signatures").withColumn("_slot", slot("node"))
-    some = some.join(F.broadcast(slots(in_doubt, "node")), "_slot", "left_semi").join(in_doubt, "node")
-    members = stored(some.select(F.explode("signatures").alias("signature"), "node", "component").distinct(), "join-members")
+    signed = _signed(sets.join(in_doubt, "node").select("node", "component", "shingles"), percent)
+    members = stored(signed.select(F.explode("signatures").alias("signature"), "node", "component").distinct(), "join-members")
     buckets = members.groupBy("signature").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
@@ -302,12 +318,11 @@ def _unconnected(profiles: DataFrame, checked: DataFrame, parts: DataFrame, sets
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("signature", "node", "component", "block", other)
     rows = rows.select("signature", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    placed = _points(sets)
-
+    meeting = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(16 * parts_of(sets.sparkSession))).alias("meeting")
     return (
-        rows.join(placed, "node")
-        .groupBy("signature", "low", "high")
-        .applyInPandas(lambda bucket: _search(bucket, percent), "a long, b long")
+        rows.join(_points(sets), "node")
+        .groupBy(meeting)
+        .applyInPandas(lambda some: _search(some, percent), "a long, b long")
         .distinct()
         .join(checked.select("a", "b"), ["a", "b"], "left_anti")
     )
@@ -323,6 +338,14 @@ def _points(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node long, point array<int>")
 
 
+def _merged(parts: DataFrame, checked: DataFrame) -> DataFrame:
+    """Components after more comparisons; those so far stand for the links that made them."""
+    added = checked.filter("linked").select("a", "b")
+    if added.isEmpty():
+        return parts
+    return stored(components(parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(added)), "join-components")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``).
 
@@ -334,24 +357,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    profiles = stored(_profiles(docs, words, percent), "join-profiles")
+    profiles = stored(_profiles(docs, words), "join-profiles")
     first = F.min("node").over(Window.partitionBy("signature"))
-    leads = _combined(profiles).select("node", F.when(F.col("node") == F.col("lead"), first).otherwise(F.col("lead")).alias("lead"))
-    pairs = leads.filter("lead <> node").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-    pairs = stored(pairs, "join-pairs")
+    leads = _combined(docs, words, percent).select("node", F.when(F.col("node") == F.col("lead"), first).otherwise(F.col("lead")).alias("lead"))
+    pairs = leads.filter("lead <> node").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("shared")), "join-pairs")
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(_sets(docs, profiles, ends, words), "join-sets")
-    checked = stored(_verified(pairs, sets, percent), "join-checked")
-    drop_table(pairs)
-    links = checked.filter("linked").select("a", "b")
-    parts = stored(components(links), "join-components")
-    more = stored(_verified(_unconnected(profiles, checked, parts, sets, percent), sets, percent), "join-more")
-    added = more.filter("linked").select("a", "b")
-    if not added.isEmpty():
-        # The components so far stand for the links that made them.
-        star = parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        parts = stored(components(star.unionByName(added)), "join-components")
-    drop_table(sets)
+
+    # First each node with the one it shares most groups with; then the pairs that are still apart.
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
+    checked = stored(_verified(best, sets, percent), "join-checked")
+    parts = stored(components(checked.filter("linked").select("a", "b")), "join-components")
+    side = lambda name: parts.select(F.col("node").alias(name), F.col("component").alias(f"part_{name}"))
+    rest = pairs.join(checked, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+    apart = rest.filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+    later = stored(_verified(apart, sets, percent), "join-checked")
+    checked = checked.unionByName(later)
+    parts = _merged(parts, later)
+    more = stored(_verified(_unconnected(checked, parts, sets, percent), sets, percent), "join-checked")
+    parts = _merged(parts, more)
+    for done in (pairs, sets):
+        drop_table(done)
 
     classes = profiles.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_doc"))
     grouped = stored(classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")), "join-classes")

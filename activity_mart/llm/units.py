@@ -24,6 +24,8 @@ CONTROLS = re.compile("[\x1c-\x1f]")
 # Units of plain Latin letters, digits and marks, which the word BPE's rules split into these parts. An
 # apostrophe may take a letter with it, and a special token is found before splitting.
 PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+# Texts that can be folded to lower case before they are cut, so that fewer units differ.
+PLAIN_TEXT = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
@@ -110,6 +112,8 @@ class UnitEncoder:
             return [self._ids(self.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
         # str.split parts a text at white space as SPACE has it, and at four control characters besides.
         spaced = self.units.pattern == WORD_UNITS
+        if self.ends_word is not None:
+            texts = [t.lower() if "<|" not in t and PLAIN_TEXT.fullmatch(t) else t for t in texts]
         cut = [t.split() if spaced and not CONTROLS.search(t) else self.units.findall(t) for t in texts]
         known = self.known
         if len(known) > REMEMBERED_UNITS:
