@@ -32,7 +32,7 @@ TEXT_CHUNK = 1_000_000
 # Coordinates of a point, points in a box, nodes of a bucket that meet at once.
 COORDINATES, BOX, BLOCK = 256, 32, 512
 # Rounds of hashing for nodes that have many empty groups; one in so many groups may be empty.
-LEVELS, SPARE_OF = 4, 12
+LEVELS, SPARE_OF = 4, 15
 SENT_TOGETHER = 1_000_000
 
 _U = np.uint64
@@ -216,6 +216,11 @@ def _sets(docs: DataFrame, profiles: DataFrame, nodes: DataFrame, words: int) ->
     return near.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def _near(sets: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The sets whose node is among the wanted ones, and few others."""
+    return sets.withColumn("_slot", slot("node")).join(F.broadcast(slots(wanted, column)), "_slot", "left_semi").drop("_slot")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` of nodes ``a, b`` with ``linked``: bounded by group counts first, then counted."""
 
@@ -232,7 +237,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
-    side = lambda of, name: sets.select(F.col("node").alias(of), F.col("shingles").alias(name))
+    pairs = stored(pairs, "join-compared")
+    # Only sets that are compared are shuffled, but for a few that share a slot with one.
+    side = lambda of, name: _near(sets, pairs, of).select(F.col("node").alias(of), F.col("shingles").alias(name))
     met = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a")
     return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean").distinct()
 
@@ -300,7 +307,7 @@ def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent:
         .unionByName(parts.join(touched, "component", "left_semi").select("node", "component"))
     )
     in_doubt = stored(in_doubt.distinct(), "join-doubt")
-    signed = _signed(sets.join(in_doubt, "node").select("node", "component", "shingles"), percent)
+    signed = _signed(_near(sets, in_doubt, "node").join(in_doubt, "node").select("node", "component", "shingles"), percent)
     members = stored(signed.select(F.explode("signatures").alias("signature"), "node", "component").distinct(), "join-members")
     buckets = members.groupBy("signature").agg(
         F.min("component").alias("low"),
@@ -320,7 +327,7 @@ def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent:
     rows = rows.select("signature", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     meeting = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(16 * parts_of(sets.sparkSession))).alias("meeting")
     return (
-        rows.join(_points(sets), "node")
+        rows.join(_points(_near(sets, members, "node")), "node")
         .groupBy(meeting)
         .applyInPandas(lambda some: _search(some, percent), "a long, b long")
         .distinct()
