@@ -308,18 +308,22 @@ def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent:
     )
     in_doubt = stored(in_doubt.distinct(), "join-doubt")
     signed = _signed(_near(sets, in_doubt, "node").join(in_doubt, "node").select("node", "component", "shingles"), percent)
-    members = stored(signed.select(F.explode("signatures").alias("signature"), "node", "component").distinct(), "join-members")
-    buckets = members.groupBy("signature").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.count("*").alias("n"),
-        F.sum(F.shiftright(F.xxhash64("node"), 16)).alias("sum"),
-        F.bit_xor(F.xxhash64("node")).alias("xor"),
+    # One shuffle by signature finds the buckets that hold several components.
+    bucket = Window.partitionBy("signature")
+    members = signed.select(F.explode("signatures").alias("signature"), "node", "component").withColumns(
+        {
+            "low": F.min("component").over(bucket),
+            "high": F.max("component").over(bucket),
+            "n": F.count("*").over(bucket),
+            "sum": F.sum(F.shiftright(F.xxhash64("node"), 16)).over(bucket),
+            "xor": F.bit_xor(F.xxhash64("node")).over(bucket),
+        }
     )
     # Two nodes alone have been compared. Buckets with the same nodes need one search.
-    buckets = buckets.filter("low < high AND n > 2").groupBy("n", "sum", "xor").agg(F.min("signature").alias("signature"))
+    members = stored(members.filter("low < high AND n > 2").drop("low", "high"), "join-members")
+    buckets = members.groupBy("n", "sum", "xor").agg(F.min("signature").alias("signature"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = members.join(buckets.select("signature", blocks.alias("blocks")), "signature").withColumn(
+    rows = members.select("signature", "node", "component").join(buckets.select("signature", blocks.alias("blocks")), "signature").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
