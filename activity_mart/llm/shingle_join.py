@@ -81,7 +81,8 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     digests, counts = word_digests([t.encode().lower() for t in texts])
     rolled = digests.copy()
     for k in range(1, words):
-        rolled[: len(rolled) - k] = mix(rolled[: len(rolled) - k] * _U(_BASE) + digests[k:])
+        n = max(0, len(rolled) - k)
+        rolled[:n] = mix(rolled[:n] * _U(_BASE) + digests[k:])
     made, at = [], 0
     for n in counts.tolist():
         if n >= words:
