@@ -75,13 +75,20 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def typed_import(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a promoted header and typed columns; a value that does not convert is null."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = spark.read.schema(text).csv(
-        path, header=True, sep=",", quote='"', escape='"', encoding="UTF-8"
+def typed_import(spark: SparkSession, path: str, schema: T.StructType, quoted_line_breaks: bool = False) -> DataFrame:
+    """CSV with a promoted header and typed columns; a value that does not convert is null.
+
+    Columns are found by their header, in any order; others are left out, and an absent one
+    is an error. ``quoted_line_breaks`` reads line breaks inside quotes as part of a value; a
+    file is then read by one task, as it can't be split at line ends.
+    """
+    rows = spark.read.csv(
+        path, header=True, sep=",", quote='"', escape='"', encoding="UTF-8", inferSchema=False, multiLine=quoted_line_breaks
     )
-    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    absent = [f.name for f in schema.fields if f.name not in rows.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def state_regions(spark: SparkSession) -> DataFrame:

@@ -28,7 +28,7 @@ def test_one_decimal_rounds_by_the_exact_value(spark):
 
 
 def test_money_short_scales(spark):
-    known = {31_120_000_000: "$31.1B", 2_500_000: "$2.5M", 443_000: "$443K", 950: "$950", 1_250_000: "$1.2M"}
+    known = {7_060_000_000: "$7.1B", 1_000_000_000: "$1.0B", 64_300_000: "$64.3M", 12_000: "$12K", 1: "$1"}
     values = [float(v) for v in known] + [-2_500_000.0, 999.5, 1000.0, 999_999.0, 1_350_000.0, 1_450_000.0, 0.0]
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     shown = {r.v: r.s for r in frame.select("v", display.money_short(F.col("v")).alias("s")).collect()}
@@ -73,5 +73,5 @@ def test_strip_text_removes_every_kind_of_blank(spark):
 
 
 def test_snake_case():
-    assert text.snake_case("Approved SBA Guaranty Dollars") == "approved_sba_guaranty_dollars"
-    assert text.snake_case("  Lender (City) ") == "lender_city"
+    cases = {"": "", "__": "", "a": "a", "A--b": "a_b", "\tRow 2\n": "row_2", "é9 Ü": "9", "x/(y)%": "x_y"}
+    assert {name: text.snake_case(name) for name in cases} == cases

@@ -36,6 +36,16 @@ def test_bulk_load_aborts_on_a_bad_row(spark, tmp_path):
         readers.load_csv(spark, str(path), SCHEMA).collect()
 
 
+def test_typed_import_goes_by_header(spark, tmp_path):
+    schema = T.StructType([T.StructField("left_key", T.LongType()), T.StructField("right_key", T.LongType()), T.StructField("note", T.StringType())])
+    path = tmp_path / "swapped.csv"
+    path.write_text('note,extra,right_key,left_key\n"two\nlines",x,20,10\n')
+    (row,) = readers.typed_import(spark, str(path), schema, quoted_line_breaks=True).collect()
+    assert tuple(row) == (10, 20, "two\nlines")
+    with pytest.raises(ValueError, match="absent"):
+        readers.typed_import(spark, str(path), T.StructType([*schema.fields, T.StructField("absent", T.LongType())]))
+
+
 def test_typed_import_turns_bad_values_into_nulls(spark, tmp_path):
     path = tmp_path / "fact.csv"
     path.write_text(
