@@ -19,9 +19,9 @@ from activity_mart.llm.common import stored, table, text_of
 
 # What separates words, and the symbols that are counted.
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
+WORD = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CAPITALS = "A-Z"
 
 MIN_WORDS = 50
 ITERATIONS = 20
@@ -45,7 +45,8 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _count(text: Column, characters: str) -> Column:
-    return (F.char_length(text) - F.char_length(F.translate(text, characters, ""))).cast("long")
+    """How many characters of the text are among these, by taking out the runs of all others."""
+    return F.char_length(F.regexp_replace(text, f"[^{characters}]+", "")).cast("long")
 
 
 def _repeat_words(words: Column) -> Column:
@@ -62,14 +63,14 @@ def _repeat_words(words: Column) -> Column:
     def places(s: Column) -> Column:
         same = lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"])
         marked = F.transform(s, lambda x, j: F.when(same(x, j), x["i"]))
-        return F.array_sort(F.filter(marked, lambda p: p.isNotNull()))
+        return F.sort_array(F.filter(marked, lambda p: p.isNotNull()))
 
     def covered(p: Column) -> Column:
         each = F.transform(p, lambda x, j: F.least(F.lit(3), F.get(p, j + 1) - x))
         return F.aggregate(each, F.lit(0), lambda a, b: a + b)
 
     def count(h: Column) -> Column:
-        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(h)) < F.size(h), _once(_once(ordered, places), covered)).otherwise(0)
 
     return _once(windows, count).cast("long")
@@ -82,7 +83,7 @@ def measures(text: Column) -> Column:
         words, lines = parts["words"], parts["lines"]
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
-            F.char_length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
+            F.char_length(F.regexp_replace(text, WORD_BREAK, "")).cast("long").alias("word_chars"),
             _count(text, SYMBOLS).alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
             _once(words, _repeat_words).alias("n_repeat_words"),
@@ -91,8 +92,8 @@ def measures(text: Column) -> Column:
             F.size(lines).cast("long").alias("n_lines"),
         )
 
-    words = F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    words = F.array_remove(F.split(text, WORD_BREAK), "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     return _once(F.struct(words.alias("words"), lines.alias("lines")), of)
 
 
