@@ -40,6 +40,20 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
+# Decimal places and type that cleaning stores an amount with.
+_STORED_AS = {
+    "approved_loans": (0, "bigint"),
+    "approved_dollars": (2, MONEY),
+    "approved_sba_guaranty_dollars": (2, MONEY),
+}
+
+
+def _fitted(name: str) -> Column:
+    """The amount as it is stored, half-even; null if it is too wide for its column."""
+    digits, kind = _STORED_AS[name]
+    return F.bround(name, digits).try_cast(kind)
+
+
 def drop_blank_rows(raw: DataFrame) -> DataFrame:
     """Rows without a single value leave silently; they are not rejects."""
     return raw.na.drop("all")
@@ -48,7 +62,8 @@ def drop_blank_rows(raw: DataFrame) -> DataFrame:
 def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> DataFrame:
     """Rename, strip and coerce, and give each row its rejection reason (null = clean).
 
-    With ``blank_is_missing`` a required text of nothing but white space counts as
+    An amount too wide for its column is invalid, so that it is kept in the quarantine
+    and not lost in a clean row. With ``blank_is_missing`` a required text of nothing but white space counts as
     missing; by default it passes as an empty string.
     """
     renamed = normalize_columns(raw, spec.columns)
@@ -77,7 +92,7 @@ def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> Da
     passes = all_of(
         [~condition for condition in absent_text]
         + [F.col("approved_loans") > 0, F.col("approved_dollars") > 0]
-        + [F.col("approved_sba_guaranty_dollars").isNotNull()]
+        + [_fitted(name).isNotNull() for name in AMOUNTS]
     )
     missing = any_of(absent_text + [F.col(name).isNull() for name in AMOUNTS])
     return rows.select(
@@ -88,18 +103,8 @@ def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> Da
 
 
 def round_amounts(rows: DataFrame) -> DataFrame:
-    """Half-even: loan counts to whole numbers, money to cents.
-
-    A number too large for its column becomes null, which the null check reports;
-    one absurd row must not end the job.
-    """
-    return rows.withColumns(
-        {
-            "approved_loans": F.bround("approved_loans", 0).try_cast("bigint"),
-            "approved_dollars": F.bround("approved_dollars", 2).try_cast(MONEY),
-            "approved_sba_guaranty_dollars": F.bround("approved_sba_guaranty_dollars", 2).try_cast(MONEY),
-        }
-    )
+    """Half-even: loan counts to whole numbers, money to cents. Amounts of clean rows fit."""
+    return rows.withColumns({name: _fitted(name) for name in AMOUNTS})
 
 
 def derive_ratios(rows: DataFrame) -> DataFrame:

@@ -129,17 +129,34 @@ def active_lenders(star: Star, where: Slicers | None = None) -> DataFrame:
     return rows.agg(F.count_distinct("lender_key").alias("active_lenders"))
 
 
+def _groups(star: Star, key: str, columns: list[str], where: Slicers) -> DataFrame:
+    """The sliced dimension's groups, with the blank one if fact rows lack a dimension row."""
+    own = {name: values for name, values in where.items() if name in _DIMENSIONS[key][1]}
+    rows = _sliced_dimension(star, key, columns, where).select(*columns)
+    return rows.unionByName(base_measures(star, columns, own).select(*columns)).distinct()
+
+
 def active_lenders_by(star: Star, by: list[str], where: Slicers | None = None) -> DataFrame:
-    """Per group of lender columns; other groups repeat the ungrouped count."""
+    """Per group of lender columns, lenders without facts included; null for the blank group.
+
+    Place and period columns do not reach the lenders, so each of their groups repeats the
+    counts. They come as one array of the dimension's distinct values, as a report shows them.
+    """
     where = dict(where or {})
-    lender_columns = [name for name in by if name in _LENDER_COLUMNS]
-    groups = base_measures(star, by, where).select(*by)
-    counts = (
-        _sliced_dimension(star, "lender_key", lender_columns, where)
-        .groupBy(*lender_columns)
-        .agg(F.count_distinct("lender_key").alias("active_lenders"))
-    )
-    return _with_other(groups, counts, lender_columns, "active_lenders")
+    split = _split(by)
+    lender_columns = split.pop("lender_key", [])
+    rows = active_lenders(star, where)
+    if lender_columns:
+        counts = (
+            _sliced_dimension(star, "lender_key", lender_columns, where)
+            .groupBy(*lender_columns)
+            .agg(F.count_distinct("lender_key").alias("active_lenders"))
+        )
+        rows = _with_other(_groups(star, "lender_key", lender_columns, where), counts, lender_columns, "active_lenders")
+    for key, columns in split.items():
+        every = _groups(star, key, columns, where).agg(F.collect_list(F.struct(*columns)).alias("every"))
+        rows = rows.withColumn("_group", F.explode(every.scalar())).select("*", "_group.*").drop("_group")
+    return rows.select(*by, "active_lenders")
 
 
 def top_lender_dollars(

@@ -447,6 +447,13 @@ _RATIOS = (
     f"{quotient('sum(approved_dollars)', 'sum(approved_loan_count)')} AS average_loan_size, "
     f"{quotient('sum(guaranty_dollars)', 'sum(approved_dollars)')} AS guaranty_rate"
 )
+def _active_by(column: str) -> str:
+    """Lenders of the dimension by one of its columns, and the blank group of facts without a lender."""
+    return f"""
+        SELECT {column}, count(DISTINCT lender_key) AS active_lenders FROM fdim_l GROUP BY {column}
+        UNION SELECT NULL, NULL FROM ffact WHERE lender_key IS NULL"""
+
+
 _TOP_BY_REGION = """
     SELECT region, CAST(sum(dollars) AS DECIMAL(28,2)) AS top_lender_dollars
     FROM (SELECT region, lender_name, sum(approved_dollars) AS dollars,
@@ -809,10 +816,12 @@ QUERIES = {
                           FROM flat GROUP BY region) e ON t.region = e.region
         WHERE lender_state = 'ASIA' AND t.{_ASIA_EUROPE}
         GROUP BY t.region, lender_name, all_lender_dollars""",
-    "m_active_lenders": """
-        SELECT DISTINCT region, f.lender_state, active_lenders
-        FROM flat f JOIN (SELECT lender_state, count(DISTINCT lender_key) AS active_lenders
-                          FROM dim_l GROUP BY lender_state) n ON f.lender_state = n.lender_state""",
+    "m_active_lenders": f"""
+        SELECT region, lender_state, active_lenders
+        FROM ({_active_by("lender_state")}) CROSS JOIN (
+            SELECT DISTINCT region FROM dim_g
+            UNION SELECT NULL FROM ffact WHERE geography_key IS NULL) places""",
+    "m_active_lenders_by_name": _active_by("lender_name"),
     "m_top10_dollars": _TOP_BY_REGION,
     "m_top10_share": f"""
         SELECT t.region, top_lender_dollars, all_lender_dollars,

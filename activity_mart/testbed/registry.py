@@ -458,7 +458,8 @@ QUERIES: dict[str, Query] = {
         lambda star: measures.ratio_measures(measures.base_measures(star, ["lender_state"]))
     ),
     "m_lender_share": _on_star(lambda star: measures.lender_share(star, ["region", "lender_name"], _SLICE)),
-    "m_active_lenders": _on_star(lambda star: measures.active_lenders_by(star, ["region", "lender_state"])),
+    "m_active_lenders": _on_flawed_star(lambda star: measures.active_lenders_by(star, ["region", "lender_state"])),
+    "m_active_lenders_by_name": _on_flawed_star(lambda star: measures.active_lenders_by(star, ["lender_name"])),
     "m_top10_dollars": _on_star(lambda star: measures.top_lender_dollars(star, ["region"])),
     "m_top10_share": _on_star(lambda star: measures.top_lender_share(star, ["region"])),
     "m_failed_checks": lambda s, d: measures.failed_checks(quality_report(s, d)),

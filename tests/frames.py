@@ -25,16 +25,24 @@ def _cleaned(spark, spec, rows):
     return derive_ratios(frame.select(*[frame[f.name].cast(f.dataType).alias(f.name) for f in fields]))
 
 
+# Two lenders tie at the top, one has no county row, two share a place, one lends in two states.
 LENDERS = [
-    ("Alpha Bank", "Austin", "TX", 6, "3000000.00", "2250000.00"),
-    ("Beta Bank", "Miami", "FL", 2, "400000.00", "300000.00"),
+    ("Cedar Trust", "Boise", "ID", 5, "1200000.00", "960000.00"),
+    ("Harbor Union", "Portland", "ME", 3, "1200000.00", "600000.00"),
+    ("Quiet Savings", "Salem", "OR", 1, "200000.00", "0.00"),
+    ("Ridge Mutual", "Portland", "OR", 2, "600000.00", "480000.00"),
 ]
 COUNTIES = [
-    ("Alpha Bank", "Austin", "TX", "TX", "TRAVIS", 4, "2000000.00", "1500000.00"),
-    ("Alpha Bank", "Austin", "TX", "OK", "TULSA", 2, "1000000.00", "750000.00"),
-    ("Beta Bank", "Miami", "FL", "FL", "MIAMI-DADE", 2, "400000.00", "300000.00"),
+    ("Cedar Trust", "Boise", "ID", "ID", "ADA", 2, "720000.00", "576000.00"),
+    ("Cedar Trust", "Boise", "ID", "WA", "KING", 3, "480000.00", "384000.00"),
+    ("Harbor Union", "Portland", "ME", "ME", "YORK", 3, "1200000.00", "600000.00"),
+    ("Ridge Mutual", "Portland", "OR", "WA", "KING", 2, "600000.00", "480000.00"),
+]
+# Two offices tie.
+OFFICES = [
+    ("Cedar Trust", "Boise", "ID", "0101", "ALPINE / LAKES", 5, "1200000.00", "960000.00"),
+    ("Harbor Union", "Portland", "ME", "0202", "COAST", 3, "1200000.00", "600000.00"),
 ]
-OFFICES = [("Alpha Bank", "Austin", "TX", "0651", "DALLAS / FT WORTH", 6, "3000000.00", "2250000.00")]
 
 
 def lenders(spark, rows=LENDERS):

@@ -42,12 +42,12 @@ def test_rounding_goes_half_away_from_zero(spark):
 
 
 def test_share_denominator_is_a_choice(spark):
-    # The lender extract holds 3.4M, the county extract 3.5M.
-    counties = [*frames.COUNTIES, ("Beta Bank", "Miami", "FL", "GA", "FULTON", 1, "100000.00", "0.00")]
+    # The lender extract holds 3.2M, the county extract 4.0M.
+    counties = [*frames.COUNTIES, ("Harbor Union", "Portland", "ME", "NH", "COOS", 1, "1000000.00", "0.00")]
     rows, lenders = frames.counties(spark, counties), frames.lenders(spark)
     by_lender = {r.project_state: r.exposure_share_pct for r in analytics.state_activity(rows, lenders).collect()}
     by_itself = {r.project_state: r.exposure_share_pct for r in analytics.state_activity(rows, rows).collect()}
-    assert (by_lender["TX"], by_itself["TX"]) == (Decimal("58.82"), Decimal("57.14"))
+    assert (by_lender["ME"], by_itself["ME"]) == (Decimal("37.50"), Decimal("30.00"))
 
 
 def test_composite_distinct_is_not_fooled_by_delimiters(spark):
@@ -91,23 +91,23 @@ def found(spark):
 def test_headlines(found):
     lines = [r.fact for r in insight.headline_facts(found, "Program", "FY2024").collect()]
     assert len(lines) == 8
-    assert lines[0] == "Program FY2024 activity totals $3.4M across 8 approved loans and 2 lenders."
-    assert lines[3] == "Alpha Bank is the largest lender by approved dollars at $3.0M (88.24% of total)."
-    assert lines[6] == "Dallas / Ft Worth is the largest SBA district office view at $3.0M."
+    assert lines[0] == "Program FY2024 activity totals $3.2M across 11 approved loans and 4 lenders."
+    assert lines[3] == "Cedar Trust is the largest lender by approved dollars at $1.2M (37.50% of total)."
+    assert lines[6] == "Alpine / Lakes is the largest SBA district office view at $1.2M."
     assert lines[7].endswith("spanning 2 project states and territories.")
 
 
 def test_cards_and_completion_line(found):
     cards = {r.label: r.value for r in insight.kpi_cards(found["kpi_summary"]).collect()}
-    assert cards["Avg loan size"] == "$425K" and cards["Guaranty rate"] == "75.0%"
+    assert cards["Avg loan size"] == "$291K" and cards["Guaranty rate"] == "63.8%"
     line = insight.completion_line(found["kpi_summary"]).first().line
-    assert line == "KPIs: $3.4M approved across 8 loans, guaranty rate 75.00%, top-10 share 100.00%"
+    assert line == "KPIs: $3.2M approved across 11 loans, guaranty rate 63.75%, top-10 share 100.00%"
 
 
 def test_bars(found):
     bars = insight.ranked_bars(found).collect()
     assert [(b.position, b.label, b.note) for b in bars if b.chart == "states"] == [
-        (1, "TX", "58.8% share, 4 loans"),
-        (2, "OK", "29.4% share, 2 loans"),
-        (3, "FL", "11.8% share, 2 loans"),
+        (1, "ME", "37.5% share, 3 loans"),
+        (2, "WA", "33.8% share, 5 loans"),
+        (3, "ID", "22.5% share, 2 loans"),
     ]

@@ -104,9 +104,17 @@ def test_money_rounds_half_to_even(spark):
     ]
 
 
-def test_an_absurd_number_does_not_end_the_job(spark):
-    clean, _, _ = outcome(spark, [("A", "B", "C", "1", "1e20", "1"), ("A", "B", "C", "1", "0.01", "9999999")])
-    assert clean[0].approved_dollars is None and clean[1].guaranty_rate_pct is None
+def test_an_amount_wider_than_its_column_is_rejected_with_its_text(spark):
+    wide = [("A", "B", "C", "1", "2e16", "1"), ("A", "B", "C", "1e19", "5", "1"), ("A", "B", "C", "1", "5", "-1e17")]
+    clean, rejected, log = outcome(spark, [*wide, ("A", "B", "C", "1", "9999999999999999.99", "1")])
+    assert [r.approved_dollars for r in clean] == [Decimal("9999999999999999.99")]
+    assert {r.rejection_reason for r in rejected} == {INVALID} and log.rows_rejected == 3
+    assert sum(any(text in r.raw for text in ('"2e16"', '"1e19"', '"-1e17"')) for r in rejected) == 3
+
+
+def test_an_absurd_rate_does_not_end_the_job(spark):
+    clean, _, _ = outcome(spark, [("A", "B", "C", "1", "0.01", "9999999")])
+    assert clean[0].approved_dollars == Decimal("0.01") and clean[0].guaranty_rate_pct is None
 
 
 def test_quarantine_keeps_the_original_text(spark):

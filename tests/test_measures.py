@@ -73,6 +73,20 @@ def test_place_slicers_do_not_reduce_active_lenders(star):
     assert by_state[("CA", "TX")].active_lenders == len(NAMES) - 1
 
 
+def test_lenders_without_facts_are_active(spark):
+    lender_rows = [(f"In {state}", "A", state, 1, "9.00", "1.00") for state in ("TX", "FL", "NY")]
+    county_rows = [
+        ("In TX", "A", "TX", "CA", "KERN", 1, "9.00", "1.00"),
+        ("Unknown", "A", "TX", "OH", "ROSS", 1, "9.00", "1.00"),
+    ]
+    star = build_star(frames.lenders(spark, lender_rows), frames.counties(spark, county_rows), state_regions(spark))
+    by_lender = {r.lender_state: r.active_lenders for r in measures.active_lenders_by(star, ["lender_state"]).collect()}
+    assert by_lender == {"TX": 1, "FL": 1, "NY": 1, None: None}
+    sliced = measures.active_lenders_by(star, ["lender_state", "state"], {"lender_state": ["NY"], "state": ["OH"]})
+    assert [tuple(r) for r in sliced.collect()] == [("NY", "OH", 1)]
+    assert {tuple(r) for r in measures.active_lenders_by(star, ["state"]).collect()} == {("CA", 3), ("OH", 3)}
+
+
 def test_top_names_merge_cities_and_keep_ties(star):
     # Eight banks, the merged Twin (110), and all three names tied for the tenth place.
     expected = sum(200 - i for i in range(8)) + 110 + 300
@@ -111,7 +125,7 @@ def test_pages(star):
 
 
 def test_unmatched_facts_form_a_blank_group(spark):
-    stray = [*frames.COUNTIES, ("Stray", "Reno", "NV", "TX", "TRAVIS", 1, "100.00", "0.00")]
+    stray = [*frames.COUNTIES, ("Stray", "Reno", "NV", "WA", "KING", 1, "100.00", "0.00")]
     star = build_star(frames.lenders(spark), frames.counties(spark, stray), state_regions(spark))
     found = rows(measures.base_measures(star, ["lender_name"]), "lender_name")
     assert float(found[(None,)].total_approved_dollars) == 100

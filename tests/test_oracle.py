@@ -10,8 +10,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from activity_mart.testbed import oracle, registry
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+# The optional operators are compared with SQL, or with brute force, in their own folder.
+QUERIES, ORACLES = registry.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +43,8 @@ def _rows(names, rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

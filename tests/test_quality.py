@@ -30,7 +30,7 @@ def test_all_checks_pass_on_clean_input(spark):
 
 
 def test_guaranty_above_approved_is_flagged_once(spark):
-    rows = [("Alpha Bank", "Austin", "TX", 6, "3000000.00", "3000001.00"), frames.LENDERS[1]]
+    rows = [("Cedar Trust", "Boise", "ID", 5, "1200000.00", "1200001.00"), *frames.LENDERS[1:]]
     found = report_of(spark, frames.extracts(spark, lender_rows=rows))
     assert found["sba_lender_activity_guaranty_not_above_approved"] == ("fail", 1)
     assert [name for name, (status, _) in found.items() if status == "fail"] == [
@@ -43,7 +43,7 @@ def test_every_kind_of_failure_is_counted(spark):
         *frames.COUNTIES,
         frames.COUNTIES[0],
         ("Stray Bank", "Reno", "NV", "ZZ", "NOWHERE", -1, "10.00", "5.00"),
-        ("Beta Bank", "Miami", "FL", "FL", "MIAMI-DADE", 1, "10.00", None),
+        ("Harbor Union", "Portland", "ME", "ME", "YORK", 1, "10.00", None),
     ]
     found = report_of(spark, frames.extracts(spark, county_rows=counties))
     table = "sba_lender_county_activity"
@@ -57,7 +57,7 @@ def test_every_kind_of_failure_is_counted(spark):
 
 
 def test_copies_of_a_bad_row_all_count(spark):
-    bad = ("Alpha Bank", "Austin", "TX", 1, "10.00", "11.00")
+    bad = ("Cedar Trust", "Boise", "ID", 1, "10.00", "11.00")
     found = {
         r.check_name: r.failed_count
         for r in expectations.source_checks("t", frames.lenders(spark, [bad, bad, bad])).collect()
@@ -89,7 +89,7 @@ def test_reconcile(spark):
     star = built(spark, frames.extracts(spark))
     staged = stage_county(frames.counties(spark))
     assert expectations.reconcile(star.fact, staged).first().status == "pass"
-    stray = [*frames.COUNTIES, ("Stray Bank", "Reno", "NV", "TX", "TRAVIS", 1, "0.02", "0.01")]
+    stray = [*frames.COUNTIES, ("Stray Bank", "Reno", "NV", "WA", "KING", 1, "0.02", "0.01")]
     counties = frames.counties(spark, stray)
     inner = fact_inner(counties, star.dim_lender, star.dim_geography, star.dim_date)
     assert expectations.reconcile(inner, stage_county(counties)).first().status == "fail"
@@ -115,7 +115,7 @@ def test_expectations_and_their_rows(spark):
     )
     found = {r.check_name: r.failed_count for r in expectations.check_expectations(models).collect()}
     assert found["unique_dim_lender_lender_key"] == 1
-    assert found["relationships_fct_lending_activity_lender_key"] == 1
+    assert found["relationships_fct_lending_activity_lender_key"] == 2
     broken = expectations.Expectation("unique", "dim_lender", "lender_key")
     assert expectations.failing_rows(models, broken).first().lender_key == 1
 
@@ -124,7 +124,7 @@ def test_failing_rows_are_returned(spark):
     fact = built(spark, frames.extracts(spark)).fact
     assert expectations.negative_amount_rows(fact).isEmpty()
     worse = fact.withColumn("guaranty_dollars", F.col("approved_dollars") + 1)
-    assert expectations.guaranty_above_approved_rows(worse).count() == 3
+    assert expectations.guaranty_above_approved_rows(worse).count() == 4
 
 
 def test_missing_cells(spark):
