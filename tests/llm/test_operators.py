@@ -199,6 +199,21 @@ def test_kneser_ney_sums_to_one_and_rejects_symbols(spark, docs, labels, empty):
     assert kneser_ney.keep_trusted_like(docs, labels.filter("quality = 5")).count() == docs.count()
 
 
+def cyrillic(n, seed, alphabet):
+    made = random.Random(seed)
+    return " ".join("".join(made.choices(alphabet, k=made.randint(1, 3))) for _ in range(n))
+
+
+def test_kneser_ney_tells_letters_of_other_scripts(spark):
+    syllables = ["ко", "ро", "ва", "на", "сто", "ли", "це", "мо"]
+    clean = [(i, cyrillic(300, i, syllables), "ru") for i in range(60)]
+    letters = [(100 + i, cyrillic(300, 100 + i, [a + b for a in "жщъыэюф" for b in "шчхгбяй"]), "ru") for i in range(5)]
+    rows = spark.createDataFrame(clean + letters, "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in kneser_ney.classified(rows, good).filter("kept").collect()}
+    assert not any(i >= 100 for i in kept) and len(kept) >= 57
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for i, t in texts.items():
