@@ -214,6 +214,19 @@ def test_kneser_ney_tells_letters_of_other_scripts(spark):
     assert not any(i >= 100 for i in kept) and len(kept) >= 57
 
 
+def test_kneser_ney_rare_language_beside_a_hot_one(spark):
+    rows = [(i, cyrillic(60, i, ["ko", "ro", "va", "li", "sto"]), "en") for i in range(400)]
+    rows += [(1000 + i, cyrillic(60, i, ["ко", "ро", "ва", "ли", "сто"]), "ru") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    sample = {r.doc_id for r in kneser_ney.training_sample(frame, 40).collect()}
+    assert {1000 + i for i in range(12)} <= sample and 5 <= len(sample) - 12 <= 45
+    got = kneser_ney.classified(frame, good, most=40).collect()
+    assert all(r.kept for r in got if r.lang == "ru") and len({r.threshold for r in got}) == 2
+    # The quantile is over all 400, so at most its share of them is above the limit without margin.
+    assert sum(r.kept for r in got if r.lang == "en") >= 398
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for i, t in texts.items():
