@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activity_mart.llm.common import components, drop_table, parts_of, ship, slot, slots, stored, table, text_chunks, text_of, without_ids
 
@@ -367,6 +368,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     without id has the smallest id of its component, null if there is none. An empty table
     has no rows; other columns are not read.
     """
+    return _located(docs, words, percent).drop("node")
+
+
+def _located(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with each row's ``node``."""
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     profiles = stored(_profiles(docs, words), "join-profiles")
@@ -397,23 +403,37 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     smallest = grouped.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     named = grouped.join(smallest, "component").select("node", "component_id")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return profiles.select("doc_id", "n_shingles", "node").join(named, "node", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return profiles.select("doc_id", "n_shingles", "node").join(named, "node", "left").select("doc_id", "n_shingles", own.alias("component_id"), "node")
+
+
+def _with_node(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with ``_node``, the node of the row's own text."""
+    columns = docs.columns
+    at = columns.index("text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, "text", TEXT_CHUNK):
+            sets = shingle_sets([t or "" for t in batch.column(at).to_pylist()], words)
+            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*columns, "_node"])
 
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
 
 
 def one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The rows of ``docs`` that have their component's smallest id, with all their columns.
 
-    Of rows with equal id and text one stays. Rows without id stay.
+    Of rows with equal id and text one stays; of rows with one id and different texts, each is
+    judged by its own text's component. Rows without id stay.
     """
-    found = stored(near_duplicates(docs, words, percent), "near-duplicates")
-    kept = without_ids(docs, found.filter("doc_id <> component_id").select("doc_id").distinct())
+    found = stored(_located(docs, words, percent), "near-duplicates")
+    dropped = found.filter("doc_id <> component_id").select("doc_id", F.col("node").alias("_node")).distinct()
     again = stored(found.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"), "repeated-ids")
     if again.isEmpty():
-        return kept
-    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return without_ids(kept, again).unionByName(repeated)
+        return without_ids(docs, dropped.select("doc_id"))
+    lone = without_ids(without_ids(docs, again), dropped.join(again, "doc_id", "left_anti").select("doc_id"))
+    repeated = _with_node(docs.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]), words)
+    return lone.unionByName(repeated.join(dropped, ["doc_id", "_node"], "left_anti").select(*docs.columns))
 
 
 def op2_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,6 +262,13 @@ def test_one_of_each_keeps_columns_and_lone_rows(docs, empty):
     assert shingle_join.one_of_each(empty, 5, 80).count() == 0
 
 
+def test_one_of_each_judges_two_texts_of_one_id_apart(spark):
+    a, b = words(100, 61), words(100, 62)
+    rows = spark.createDataFrame([(5, a), (7, a + " more"), (3, b), (5, b + " more"), (5, a)], "doc_id long, text string")
+    kept = shingle_join.one_of_each(rows, 5, 80).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, b), (5, a)]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (100, 99)], "a long, b long")
     got = {r.node: r.component for r in common.components(links).collect()}
