@@ -2,9 +2,10 @@
 
 Pieces of one length are interchangeable, so the plan needs only how many there are of each
 length: a table of at most ``capacity`` rows. Bin completion takes the largest piece, enumerates
-the undominated ways to fill the space beside it, and bounds the search by the waste of the best
-filling so far, first the best-fit one. A filling is used as often as its lengths last. Spark
-then numbers the pieces within their length and looks each number up in the plan.
+the undominated ways to fill the space beside it, and branches over them, least waste first. The
+first incumbent is the best-fit decreasing plan; a branch ends where the sequences so far and the
+lower bound of the pieces left, that is, its total waste, cannot beat the incumbent. The search
+ends at the lower bound or after ``PLAN_NODES`` branchings, with the incumbent. Spark then numbers the pieces within their length and looks each number up in the plan.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from activity_mart.llm.units import tokenizer_path, unit_encoder
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-SEARCH_NODES = 3_000  # fillings tried beside one largest piece before the incumbent is taken
+SEARCH_NODES = 3_000  # fillings tried beside one largest piece before those found are taken
+PLAN_NODES = 2_000  # branchings of a plan before the incumbent is taken
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,25 +103,113 @@ def _dominated(counts: np.ndarray, chosen: list[int], room: int) -> bool:
     )
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Filling]:
-    """Fillings for all pieces of the histogram, in order; their ``times`` are the sequences."""
+def _fillings(counts: np.ndarray, present: list[int], space: int) -> list[list[int]]:
+    """The undominated fillings of ``space``, least waste first; the greedy completion is the first."""
+    first = _complete(counts, present, space)
+    if sum(first) == space and len(first) <= 2:
+        return [first]  # an exact single piece or pair dominates every filling of more pieces
+    found: dict[tuple[int, ...], int] = {}
+    smallest = present[-1] if present else space + 1
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, space, ())]
+    tried = 0
+    while stack and tried < SEARCH_NODES:
+        at, room, chosen = stack.pop()
+        tried += 1
+        if room < smallest or not any(x <= room and chosen.count(x) < counts[x] for x in present[at:]):
+            if not _dominated(counts, list(chosen), room):
+                found[chosen] = room
+            continue
+        following = [(i, room - x, (*chosen, x)) for i, x in enumerate(present[at:], at) if x <= room and chosen.count(x) < counts[x]]
+        stack.extend(reversed(following))
+    found.pop(tuple(first), None)
+    return [first, *(list(f) for f in sorted(found, key=found.__getitem__))]
+
+
+def lower_bound(counts: np.ndarray) -> int:
+    """Sequences that any plan needs: by tokens, and by pieces too large to share one (Martello and Toth)."""
+    capacity = len(counts) - 1
+    number, tokens = np.r_[0, np.cumsum(counts)], np.r_[0, np.cumsum(counts * np.arange(capacity + 1))]
+    half = capacity // 2
+    low = np.arange(half + 1)  # pieces shorter than this are left out
+    large = number[-1] - number[capacity - low + 1]
+    middle = number[capacity - low + 1] - number[half + 1]
+    free = middle * capacity - (tokens[capacity - low + 1] - tokens[half + 1])
+    small = tokens[half + 1] - tokens[low]
+    return int((large + middle + np.maximum(0, -((free - small) // capacity))).max())
+
+
+def best_fit(counts: np.ndarray) -> list[Filling]:
+    """The best-fit decreasing plan: bins of equal contents are one group, by the room left."""
+    capacity = len(counts) - 1
+    bins: dict[int, list[Filling]] = {}
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[length])
+        for room in [*sorted(r for r in bins if r >= length), capacity]:
+            each = room // length
+            groups = bins.pop(room, []) if room < capacity else [Filling([], -(-left // each))]
+            while groups and left:
+                group = groups.pop()
+                full = min(group.times, left // each)
+                rest = min(left - full * each, each) if full < group.times else 0
+                for n, times in ((each, full), (rest, 1 if rest else 0)):
+                    if times:
+                        bins.setdefault(room - n * length, []).append(Filling([*group.lengths, *[length] * n], times))
+                left -= full * each + rest
+                over = group.times - full - (1 if rest else 0)
+                if over:
+                    groups.append(Filling(group.lengths, over))
+            if groups and room < capacity:
+                bins.setdefault(room, []).extend(groups)
+            if not left:
+                break
+    return [f for groups in bins.values() for f in groups]
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_NODES) -> list[Filling]:
+    """Fillings for all pieces of the histogram; their ``times`` are the sequences.
+
+    ``nodes`` bounds the branchings after the first descent, the greedy completion, which goes on
+    until it ends or cannot beat best fit: the plan is no worse than either.
+    """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    made = []
-    while counts.any():
-        largest = int(np.flatnonzero(counts)[-1])
-        counts[largest] -= 1
+    best = best_fit(counts)
+    fewest, least = sum(f.times for f in best), lower_bound(counts)
+    # A branch: the pieces before it, its filling, the fillings before it as a linked list, their sequences.
+    stack: list[tuple[np.ndarray, Filling | None, tuple | None, int]] = [(counts, None, None, 0)]
+    descended, done = False, 0
+    while stack and fewest > least and (done < nodes or not descended):
+        before, filling, made, used = stack.pop()
+        left = before.copy()
+        if filling:
+            np.subtract.at(left, filling.lengths, filling.times)
+            made, used = (filling, made), used + filling.times
+        if used + lower_bound(left) >= fewest:
+            descended = True
+            continue
+        if not left.any():
+            descended, fewest, best = True, used, []
+            while made:
+                best.append(made[0])
+                made = made[1]
+            best.reverse()
+            continue
+        done += descended
+        largest = int(np.flatnonzero(left)[-1])
+        left[largest] -= 1
         space = capacity - largest
-        present = [int(x) for x in np.flatnonzero(counts[: space + 1])[::-1]]
-        lengths = [largest, *_complete(counts, present, space)]
-        counts[largest] += 1
-        needed = {x: lengths.count(x) for x in set(lengths)}
-        times = min(int(counts[x]) // n for x, n in needed.items())
-        for x, n in needed.items():
-            counts[x] -= n * times
-        made.append(Filling(lengths, times))
-    return made
+        present = [int(x) for x in np.flatnonzero(left[: space + 1])[::-1]]
+        fillings = [[largest, *f] for f in _fillings(left, present, space)]
+        left[largest] += 1
+        branches = []
+        # No more branches than nodes can be visited.
+        for lengths in fillings[: max(1, nodes - done)]:
+            most = min(int(left[x]) // lengths.count(x) for x in set(lengths))
+            # As often as its lengths last, and once, so that any mix of fillings is a branch.
+            branches += [(left, Filling(lengths, times), made, used) for times in dict.fromkeys((most, 1))]
+        stack.extend(reversed(branches))
+    return best
 
 
 def _slots(fillings: list[Filling], capacity: int) -> dict[int, np.ndarray]:

@@ -146,6 +146,55 @@ def test_packing_plan_is_near_the_bound():
         assert sum(f.times for f in fillings) <= bound + max(1, bound // 50)
 
 
+def test_packing_plan_beats_best_fit_or_equals_it():
+    made = random.Random(5)
+    lengths = made.sample(range(400, 1024), 300)
+    histogram = dict.fromkeys(lengths, 0)
+    for n in made.choices(lengths, k=59_458):
+        histogram[n] += 1
+    # Best-fit decreasing, piece by piece: the smallest room that still holds the piece.
+    bins = np.zeros(2049, dtype=np.int64)
+    for n in sorted(lengths, reverse=True):
+        for _ in range(histogram[n]):
+            fits = np.flatnonzero(bins[n:2048])
+            room = n + int(fits[0]) if len(fits) else 2048
+            bins[room] -= room < 2048
+            bins[room - n] += 1
+    fillings = packing.plan(histogram)
+    assert {n: sum(f.lengths.count(n) * f.times for f in fillings) for n in histogram} == histogram
+    assert all(sum(f.lengths) <= 2048 for f in fillings)
+    assert sum(f.times for f in fillings) <= bins.sum()
+
+
+def test_packing_plan_is_the_best_of_small_histograms():
+    for seed in range(40):
+        made = random.Random(seed)
+        histogram = {n: made.randint(1, 2) for n in made.sample(range(2, 10), 5)}
+        best = _fewest(tuple(sorted(n for n, k in histogram.items() for _ in range(k))), 12)
+        assert sum(f.times for f in packing.plan(histogram, 12)) == best
+
+
+def _fewest(pieces, capacity):
+    """Sequences of the best plan, by trying every way to place the pieces, largest first."""
+    least = len(pieces)
+
+    def place(at, rooms):
+        nonlocal least
+        if len(rooms) >= least:
+            return
+        if at < 0:
+            least = len(rooms)
+            return
+        for room in {r for r in rooms if r >= pieces[at]}:
+            rest = list(rooms)
+            rest.remove(room)
+            place(at - 1, [*rest, room - pieces[at]])
+        place(at - 1, [*rooms, capacity - pieces[at]])
+
+    place(len(pieces) - 1, [])
+    return least
+
+
 def test_shards_are_near_equal(spark, docs, empty, sf_dir):
     documents = common.table(spark, sf_dir, "documents")
     rows = sharding.op10_kd_shards(spark, sf_dir).collect()
