@@ -399,4 +399,4 @@ def test_context_tree_scores_by_brute_force(docs, empty):
 
 
 def test_every_operator_is_registered():
-    assert {name.partition("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.partition("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
