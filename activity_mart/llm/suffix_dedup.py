@@ -85,7 +85,8 @@ FIRST, SECOND = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 def places_of(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each byte of a flat text its offset in its document, and the bytes from it to the document's end."""
     lengths = np.diff(edges)
-    every = np.arange(edges[-1], dtype=np.int64)
+    edges = edges.astype(np.int32 if edges[-1] < 2**31 else np.int64)
+    every = np.arange(edges[-1], dtype=edges.dtype)
     return every - np.repeat(edges[:-1], lengths), np.repeat(edges[1:], lengths) - every
 
 
@@ -236,7 +237,7 @@ def _in_chunks(rows: DataFrame) -> DataFrame:
 def _texts(batch: pa.RecordBatch, i: int) -> tuple[pa.StructArray, np.ndarray, np.ndarray, np.ndarray]:
     """The documents of the batch's chunk ``i``, their flat text, its edges, and which are open."""
     docs = batch["docs"].slice(i, 1).flatten()
-    letters, edges = _flat(docs.field("text"))
+    letters, edges = _flat(docs.field("text").fill_null(""))
     return docs, letters, edges, docs.field("open").to_numpy(zero_copy_only=False)
 
 
@@ -281,7 +282,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(spark)
     parts = parts_of(spark)
     text = text_of(text_col)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    rows = docs.select(others.alias("others"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
 
     grams = _grams(rows)
     again = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
@@ -293,9 +295,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = placed.join(full, "_slot", "left_anti")
     doubtful = placed.join(full, "_slot", "left_semi").drop("_slot").join(place, "key", "left")
     ordered = doubtful.repartitionByRange(parts, "place", "key").sortWithinPartitions("place", "key")
-    chunks = stored(_in_chunks(ordered.select("row", "text", F.col("place").isNotNull().alias("open"))), "chunks")
+    chunks = stored(_in_chunks(ordered.select("others", "text", F.col("place").isNotNull().alias("open"))), "chunks")
 
-    size = chunks.select(F.sum(F.aggregate("docs", F.lit(0).cast("long"), lambda a, d: a + F.when(d["open"], F.octet_length(d["text"])).otherwise(0)))).first()[0] or 0
+    size = chunks.select(F.sum(F.aggregate("docs", F.lit(0).cast("long"), lambda a, d: a + F.when(d["open"], F.coalesce(F.octet_length(d["text"]), F.lit(0))).otherwise(0)))).first()[0] or 0
     first = _buckets(size * len(COVER) / PERIOD, parts)
 
     def cover(batch: pa.RecordBatch, i: int) -> Keys:
@@ -330,18 +332,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     spans = list(zip(starts[own[d] : own[d + 1]].tolist(), ends[own[d] : own[d + 1]].tolist(), strict=True))
                     kept = b"".join(data[x:y] for x, y in zip([a, *(e for _, e in spans)], [*(s for s, _ in spans), z], strict=True))
                     out.append({"n_bytes": z - a, "n_removed": z - a - len(kept), "spans": [{"start": s - a, "end": e - a} for s, e in spans], "kept": kept})
-                yield pa.RecordBatch.from_arrays([docs.field("row"), pa.array(out, made)], ["row", "dedup"])
+                yield pa.RecordBatch.from_arrays([docs.field("others"), docs.field("text"), pa.array(out, made)], ["others", "text", "dedup"])
 
     dedup = T.StructType.fromDDL("n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
-    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("dedup", dedup)])
+    schema = T.StructType([rows.schema["others"], rows.schema["text"], T.StructField("dedup", dedup)])
     answered = chunks.join(ranked, "chunk", "left").join(_by_chunk(repeats, "repeats"), "chunk", "left")
     untouched = F.struct(
-        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.octet_length(text_of()).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"),
         F.array().cast(dedup["spans"].dataType).alias("spans"),
-        F.col("text").cast("binary").alias("kept"),
+        text_of().cast("binary").alias("kept"),
     )
-    return answered.mapInArrow(run, schema).unionByName(whole.select("row", untouched.alias("dedup")))
+    every = answered.mapInArrow(run, schema).unionByName(whole.select("others", "text", untouched.alias("dedup")))
+    row = F.struct(*[F.col("text").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
+    return every.select(row.alias("row"), "dedup")
 
 
 def op13_cover_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
