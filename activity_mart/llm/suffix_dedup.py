@@ -3,7 +3,7 @@
 A suffix counts up to ``LENGTH`` bytes, as longer matches change nothing. Only equality decides, so suffixes
 are ordered by digests of those bytes, and a digest's place among the sorted ones is its rank.
 
-1. Documents that can hold no repeat leave: two equal 200-byte strings have the same least 32-byte gram,
+1. Documents that can hold no repeat leave: two equal 200-byte strings have the same least 64-byte gram,
    so a document none of whose least grams occurs twice is whole.
 2. The cover sample: places whose offset modulo ``PERIOD`` lies in a difference cover. For any two places some
    shift below ``PERIOD`` puts both in the cover, so of two equal suffixes a 128-byte string of the sample
@@ -36,7 +36,7 @@ LENGTH = 200
 PERIOD = 73
 COVER = sorted({pow(2, i, PERIOD) for i in range(9)})
 NAMED = LENGTH - PERIOD + 1
-GRAM = 32
+GRAM = 64
 CHUNK_BYTES, BUCKET_KEYS, LEAST_KEYS = 4_000_000, 1_000_000, 65_536
 STRETCH = 1 << 20
 _U = np.uint64

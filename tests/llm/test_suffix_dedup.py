@@ -104,8 +104,8 @@ def test_least_grams_count_places():
     want = Counter()
     for d, (a, z) in enumerate(((0, 300), (300, len(data)))):
         own = data[a:z]
-        digest = [int(g) for g in suffix_dedup.digests(suffix_dedup.FIRST).at(np.frombuffer(own, dtype=np.uint8), np.arange(len(own) - 31), 32)]
-        chosen = {i + j for i in range(len(own) - 199) for w in [digest[i : i + 169]] for j, x in enumerate(w) if x == min(w)}
+        digest = [int(g) for g in suffix_dedup.digests(suffix_dedup.FIRST).at(np.frombuffer(own, dtype=np.uint8), np.arange(len(own) - 63), 64)]
+        chosen = {i + j for i in range(len(own) - 199) for w in [digest[i : i + 137]] for j, x in enumerate(w) if x == min(w)}
         want.update((digest[p], d) for p in chosen)
     assert dict(zip(zip(gram.tolist(), document.tolist(), strict=True), n.tolist(), strict=True)) == dict(want)
 
