@@ -37,7 +37,7 @@ PERIOD = 73
 COVER = sorted({pow(2, i, PERIOD) for i in range(9)})
 NAMED = LENGTH - PERIOD + 1
 GRAM = 64
-CHUNK_BYTES, BUCKET_KEYS, LEAST_KEYS = 4_000_000, 1_000_000, 65_536
+CHUNK_BYTES, BUCKET_KEYS, LEAST_KEYS = 2_000_000, 1_000_000, 65_536
 STRETCH = 1 << 20
 _U = np.uint64
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
@@ -124,12 +124,13 @@ class Keys:
     """A chunk's digests, once each, sorted within buckets."""
 
     def __init__(self, key: np.ndarray, bucket: np.ndarray, buckets: int):
-        order = np.argsort(key)
+        small = np.int32 if len(key) < 2**31 else np.int64
+        order = np.argsort(key).astype(small)
         order = order[np.argsort(bucket[order], kind="stable")]
         key, bucket = key[order], bucket[order]
         head = np.r_[True, (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])] if len(key) else np.empty(0, dtype=bool)
-        number = np.cumsum(head) - 1
-        self.of = np.empty(len(key), dtype=np.int64)
+        number = np.cumsum(head, dtype=small) - small(1)
+        self.of = np.empty(len(key), dtype=small)
         self.of[order] = number
         self.keys = key[head]
         self.twice = np.bincount(number, minlength=len(self.keys)) > 1
