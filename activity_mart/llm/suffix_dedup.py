@@ -286,15 +286,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     rows = docs.select(others.alias("others"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
 
+    # What is joined here has no size bound, so that it is merged at every size and never broadcast.
     grams = _grams(rows)
     again = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
     near = grams.withColumn("_slot", slot("gram")).join(F.broadcast(slots(again, "gram")), "_slot", "left_semi").drop("_slot")
     # Documents with a common least gram lie side by side, so that a chunk holds what they share once.
-    place = stored(near.join(again, "gram").groupBy("key").agg(F.min("gram").alias("place")), "places")
+    place = stored(near.join(again.hint("merge"), "gram").groupBy("key").agg(F.min("gram").alias("place")), "places")
     full = F.broadcast(slots(place, "key"))
     placed = rows.withColumn("_slot", slot("key"))
     whole = placed.join(full, "_slot", "left_anti")
-    doubtful = placed.join(full, "_slot", "left_semi").drop("_slot").join(place, "key", "left")
+    doubtful = placed.join(full, "_slot", "left_semi").drop("_slot").join(place.hint("merge"), "key", "left")
     ordered = doubtful.repartitionByRange(parts, "place", "key").sortWithinPartitions("place", "key")
     chunks = stored(_in_chunks(ordered.select("others", "text", F.col("place").isNotNull().alias("open"))), "chunks")
 
@@ -314,7 +315,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         places, keys = sample(letters, edges, open_, first)
         return docs, letters, edges, *ties(letters, edges, places, keys.repeated(batch["ranks"][i].as_py()), second)
 
-    ranked = _by_chunk(ranks, "ranks")
+    ranked = _by_chunk(ranks, "ranks").hint("merge")
     repeats = _answers(_emit(chunks.join(ranked, "chunk"), lambda batch, i: suffixes(batch, i)[4]), "repeats")
 
     spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -337,7 +338,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     dedup = T.StructType.fromDDL("n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
     schema = T.StructType([rows.schema["others"], rows.schema["text"], T.StructField("dedup", dedup)])
-    answered = chunks.join(ranked, "chunk", "left").join(_by_chunk(repeats, "repeats"), "chunk", "left")
+    answered = chunks.join(ranked, "chunk", "left").join(_by_chunk(repeats, "repeats").hint("merge"), "chunk", "left")
     untouched = F.struct(
         F.octet_length(text_of()).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"),
