@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from activity_mart.sources.readers import read_extract
+from activity_mart.sources.readers import text_csv
 from activity_mart.sources.store import side_by_side
 
 
@@ -24,7 +24,7 @@ def write_table(
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
-        return read_extract(df.sparkSession, path)
+        return text_csv(df.sparkSession, path, df.columns)
     writer.format(fmt).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
 

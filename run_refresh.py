@@ -30,7 +30,7 @@ def main(arguments: list[str] | None = None) -> int:
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("activity-mart-refresh").getOrCreate()
-    specs = load_specs(options.specs) if options.specs else EXTRACTS
+    specs = load_specs(options.specs, spark) if options.specs else EXTRACTS
     result = refresh(spark, options.delivery, options.output, specs, options.format, gate=False)
     print(completion_line(result.analytics["kpi_summary"]).first().line)
     # Eight sentences.

@@ -46,6 +46,59 @@ def test_typed_import_goes_by_header(spark, tmp_path):
         readers.typed_import(spark, str(path), T.StructType([*schema.fields, T.StructField("absent", T.LongType())]))
 
 
+KEYS = T.StructType([T.StructField("left_key", T.LongType()), T.StructField("right_key", T.LongType())])
+
+
+def test_typed_import_goes_by_each_file_s_header(spark, tmp_path):
+    files = {
+        "a.csv": "left_key,right_key\n1,2\n3,4\n",
+        "b.csv": "right_key,left_key\n20,10\n",
+        "c c.csv": 'remark,right_key,left_key\n"x, y",200,100\n',
+        "d.csv": "left_key,right_key\n5,6\n",
+        "header only.csv": "right_key,left_key\n",
+        "nothing.csv": "",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    groups = readers.files_by_header(spark, str(tmp_path))
+    assert {names: len(found) for names, found in groups.items()} == {("left_key", "right_key"): 2, ("right_key", "left_key"): 2, ("remark", "right_key", "left_key"): 1}
+    found = readers.typed_import(spark, str(tmp_path), KEYS)
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (3, 4), (5, 6), (10, 20), (100, 200)]
+    # One scan a header, however many files have it.
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 3
+    (tmp_path / "e.csv").write_text("left_key,other\n7,8\n")
+    with pytest.raises(ValueError, match=r"e\.csv has no column right_key"):
+        readers.typed_import(spark, str(tmp_path), KEYS)
+
+
+def test_typed_import_of_ragged_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("left_key,right_key\n1,2,3\n4\n")
+    assert sorted(map(tuple, readers.typed_import(spark, str(tmp_path), KEYS).collect())) == [(1, 2), (4, None)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.typed_import(spark, str(tmp_path), KEYS, strict=True).collect()
+    (tmp_path / "a.csv").write_text("")
+    with pytest.raises(ValueError, match="no file with a header"):
+        readers.typed_import(spark, str(tmp_path), KEYS)
+
+
+def test_extract_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + "\nAlpha,Austin,TX,4,200.00,150.00\n")
+    turned = list(reversed(LENDER_EXTRACT.columns))
+    (tmp_path / "b.csv").write_text(",".join([*turned, "Note"]) + '\n30,40,2,FL,Miami,Beta,"two\nlines"\n')
+    rows = readers.read_extract(spark, str(tmp_path), spec=LENDER_EXTRACT, quoted_line_breaks=True)
+    assert rows.columns == [*LENDER_EXTRACT.columns, "Note"]
+    assert sorted(map(tuple, rows.collect())) == [("Alpha", "Austin", "TX", "4", "200.00", "150.00", None), ("Beta", "Miami", "FL", "2", "40", "30", "two\nlines")]
+    (tmp_path / "c.csv").write_text(",".join(turned[1:]) + "\n40,2,FL,Miami,Beta\n")
+    with pytest.raises(ValueError, match="approved_sba_guaranty_dollars"):
+        readers.read_extract(spark, str(tmp_path), spec=LENDER_EXTRACT)
+
+
+def test_bulk_load_with_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text('code,n\n"a\nb",1\nc,2\n')
+    assert [tuple(r) for r in readers.load_csv(spark, str(path), SCHEMA, quoted_line_breaks=True).collect()] == [("a\nb", 1), ("c", 2)]
+
+
 def test_typed_import_turns_bad_values_into_nulls(spark, tmp_path):
     path = tmp_path / "fact.csv"
     path.write_text(
@@ -71,12 +124,15 @@ def test_missing_sources_are_fatal(spark, tmp_path):
         readers.load_specs(str(tmp_path / "absent.json"))
 
 
-def test_specs_from_json(tmp_path):
+def test_specs_from_json(spark, tmp_path):
     spec = {"sheet": "Lender", "required_text": ["lender"], "columns": {"Lender": "lender"}}
     path = tmp_path / "specs.json"
     path.write_text(json.dumps({"tables": {"t": spec}}))
     loaded = readers.load_specs(str(path))["t"]
     assert (loaded.name, loaded.section, loaded.required_text) == ("t", "Lender", ("lender",))
+    assert readers.load_specs(str(path), spark) == {"t": loaded}
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        readers.load_specs(str(tmp_path / "absent.json"), spark)
 
 
 def test_csv_sink_keeps_padding_and_overwrites(spark, tmp_path):
