@@ -1,14 +1,16 @@
 """Cleaning with a quarantine.
 
 ``tag`` decides about every row in one narrow pass; clean rows, rejects and the
-log are all read off its result.
+log are all read off its result. Written with ``STATUS`` as its partition column, that result
+gives each of them its own files, and the counts of the log are taken by the write itself.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import (
@@ -25,11 +27,12 @@ from activity_mart.functions.numeric import coerce_number, null_if_zero
 from activity_mart.functions.text import strip_text
 from activity_mart.sources.readers import normalize_columns
 
-BLANK = "is_blank"
 REASON = "rejection_reason"
 ORIGINAL = "raw_record"
-PASSES = "is_clean"
-_HELPERS = (BLANK, PASSES, REASON, ORIGINAL)
+# What becomes of a row: CLEAN, BLANK or its rejection reason.
+STATUS = "row_status"
+CLEAN, BLANK = "clean", "blank"
+_HELPERS = (REASON, ORIGINAL, STATUS)
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -78,28 +81,21 @@ def tag(raw: DataFrame, spec: ExtractSpec, blank_is_missing: bool = False) -> Da
             return strip_text(F.col(name)).alias(name)
         return F.col(name)
 
-    rows = renamed.select(
-        *[prepared(name) for name in renamed.columns],
-        all_of([F.col(name).isNull() for name in renamed.columns]).alias(BLANK),
-        F.struct(*renamed.columns).alias(ORIGINAL),
-    )
+    rows = renamed.select(*[prepared(name) for name in renamed.columns], F.struct(*renamed.columns).alias(ORIGINAL))
     # Stripping never turns text into null, so these tests look at the text as it came.
     absent_text = [F.col(f"{ORIGINAL}.{name}").isNull() for name in spec.required_text]
     if blank_is_missing:
         absent_text += [F.col(name) == "" for name in spec.required_text]
-    # Clean and rejected rows are filtered by this one test: a filter on the reason
-    # itself would repeat every parse once per branch.
+    # Clean first: a filter on that status is this one test, without the parses of the others.
     passes = all_of(
         [~condition for condition in absent_text]
         + [F.col("approved_loans") > 0, F.col("approved_dollars") > 0]
         + [_fitted(name).isNotNull() for name in AMOUNTS]
     )
+    blank = all_of([F.col(f"{ORIGINAL}.{name}").isNull() for name in renamed.columns])
     missing = any_of(absent_text + [F.col(name).isNull() for name in AMOUNTS])
-    return rows.select(
-        "*",
-        F.coalesce(passes, F.lit(False)).alias(PASSES),
-        F.when(F.col(BLANK) | passes, None).when(missing, MISSING).otherwise(INVALID).alias(REASON),
-    )
+    status = F.when(passes, CLEAN).when(blank, BLANK).when(missing, MISSING).otherwise(INVALID)
+    return rows.withColumn(STATUS, status).withColumn(REASON, F.when(F.col(STATUS).isin(MISSING, INVALID), F.col(STATUS)))
 
 
 def round_amounts(rows: DataFrame) -> DataFrame:
@@ -121,7 +117,7 @@ def derive_ratios(rows: DataFrame) -> DataFrame:
 
 
 def valid_rows(tagged: DataFrame) -> DataFrame:
-    return tagged.where(PASSES).drop(*_HELPERS)
+    return tagged.where(F.col(STATUS) == CLEAN).drop(*_HELPERS)
 
 
 def clean(tagged: DataFrame) -> DataFrame:
@@ -130,9 +126,9 @@ def clean(tagged: DataFrame) -> DataFrame:
 
 def rejects(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
     """Rejected rows in the fixed envelope, with the original text kept as JSON."""
-    return tagged.where(~F.col(PASSES) & ~F.col(BLANK)).select(
+    return tagged.where(F.col(STATUS).isin(MISSING, INVALID)).select(
         F.lit(spec.name).alias("source_table"),
-        F.col(REASON),
+        F.col(STATUS).alias(REASON),
         F.col("lender"),
         F.col("approved_loans").cast(RAW_NUMBER),
         F.col("approved_dollars").cast(RAW_NUMBER),
@@ -152,24 +148,41 @@ def surplus_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
-def cleaning_log(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
-    """One row of counts for an extract, missing values counted before rejection."""
-    kept, passed = ~F.col(BLANK), F.col(PASSES)
-    counts = tagged.agg(
+def log_counts(spec: ExtractSpec) -> list[Column]:
+    """The log's counts over tagged rows, missing values counted before rejection."""
+    kept = F.col(STATUS) != BLANK
+    return [
         F.count("*").alias("raw_rows"),
         F.count_if(kept).alias("rows_after_blank_drop"),
-        F.count_if(passed).alias("clean_rows"),
-        F.count_if(~passed).alias("rows_removed"),
-        F.count_if(kept & ~passed).alias("rows_rejected"),
+        F.count_if(F.col(STATUS) == CLEAN).alias("clean_rows"),
+        F.count_if(F.col(STATUS) != CLEAN).alias("rows_removed"),
+        F.count_if(F.col(STATUS).isin(MISSING, INVALID)).alias("rows_rejected"),
         *[F.count_if(kept & F.col(c).isNull()).alias(f"missing_{c}") for c in spec.required],
-    )
+    ]
+
+
+def cleaning_log(tagged: DataFrame, spec: ExtractSpec) -> DataFrame:
+    """One row of counts for an extract, from its tagged rows."""
     # The ratios follow from the amounts, so rows that agree before them agree after.
     duplicates = surplus_rows(round_amounts(valid_rows(tagged)))
-    return counts.select(
+    return tagged.agg(*log_counts(spec)).select(
         F.lit(spec.name).alias("source_table"), "*", duplicates.scalar().alias("duplicate_rows")
     )
 
 
+LOG_COUNTS = ("raw_rows", "rows_after_blank_drop", "clean_rows", "rows_removed", "rows_rejected", "duplicate_rows")
+
+
+def log_table(spark: SparkSession, counts: Mapping[ExtractSpec, Mapping[str, int]]) -> DataFrame:
+    """The log from counts already taken: a row an extract, missing values by column, non-zero only."""
+    rows = [
+        (spec.name, *[taken[name] for name in LOG_COUNTS], {c: taken[f"missing_{c}"] for c in spec.required if taken[f"missing_{c}"]})
+        for spec, taken in counts.items()
+    ]
+    columns = ", ".join(f"{name} long" for name in LOG_COUNTS)
+    return spark.createDataFrame(rows, f"source_table string, {columns}, missing_before map<string, long>")
+
+
 def missing_before(log: DataFrame, spec: ExtractSpec) -> DataFrame:
     """The log's missing counts as (source_table, column_name, missing), non-zero only."""
     pairs = F.array(

@@ -2,20 +2,26 @@
 
 The row rules of a table share one aggregate. A source table's duplicate check
 groups whole rows; the other checks of that table ride on the same groups,
-weighted by their number of copies, so each source is read and shuffled once.
+weighted by their number of copies, so each source is read and shuffled once. Where the
+write of a table has taken its counts already, they are used instead.
+
+All checks of the fact read its key profile: one row for each combination of keys, with
+counts of rows and of broken rules. The fact is scanned once, however many checks there are,
+and a lender that owns a third of it is a few rows when the profile meets the dimensions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import CHECK_DETAILS, QUALITY_REPORT, REGIONS, STATE_REGIONS
 from activity_mart.operators.star import Star
+from activity_mart.sources.store import stored
 
 
 class QualityGateError(RuntimeError):
@@ -62,6 +68,26 @@ def null_cells(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(name).isNull().cast("bigint") for name in columns])
 
 
+def row_counts(columns: Sequence[str]) -> list[Column]:
+    """What a write of a cleaned table counts: nulls by column and in all, and broken amount rules."""
+    return [
+        *[F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in columns],
+        F.coalesce(F.sum(null_cells(columns)), F.lit(0)).alias("null_cells"),
+        F.count_if(negative_source_amounts()).alias("non_negative_amounts"),
+        F.count_if(guaranty_above_approved("approved_sba_guaranty_dollars")).alias("guaranty_not_above_approved"),
+    ]
+
+
+SOURCE_RULES = ("missing_required_values", "duplicate_rows", "non_negative_amounts", "guaranty_not_above_approved")
+
+
+def counted_checks(spark: SparkSession, table: str, counts: Mapping[str, int], rules: Sequence[str] = SOURCE_RULES) -> DataFrame:
+    """The checks of one cleaned table from counts already taken; ``duplicate_rows`` is one of them."""
+    taken = {**counts, "missing_required_values": counts["null_cells"]}
+    one_row = spark.createDataFrame([tuple(taken[rule] for rule in rules)], ", ".join(f"{rule} long" for rule in rules))
+    return _report(one_row, [(rule, f"{table}_{rule}", CHECK_DETAILS[rule]) for rule in rules])
+
+
 def source_checks(table: str, rows: DataFrame) -> DataFrame:
     """The four checks of one cleaned table."""
     names = rows.columns
@@ -112,35 +138,70 @@ def accepted_states_check(geographies: DataFrame, states: Sequence[str]) -> Data
     return _report(geographies.agg(F.count_if(unknown).alias(name)), [(name, name, CHECK_DETAILS[name])])
 
 
-def fact_key_checks(fact: DataFrame) -> DataFrame:
+FACT_KEYS = ("lender_key", "geography_key", "date_key")
+
+
+def fact_profile(fact: DataFrame) -> DataFrame:
+    """One row for each combination of the fact's keys: its rows, and how many break each rule.
+
+    At most as many rows as the fact; rows of one lender, place and period add up before the shuffle.
+    """
+    return fact.groupBy(*FACT_KEYS).agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("approved_dollars").isNull()).alias("null_approved_dollars"),
+        F.count_if(negative_fact_amounts()).alias("fact_non_negative_amounts"),
+        F.count_if(guaranty_above_approved("guaranty_dollars")).alias("fact_guaranty_not_above_approved"),
+    )
+
+
+def _total(amount: Column) -> Column:
+    return F.coalesce(F.sum(amount), F.lit(0))
+
+
+def _rows_if(condition: Column) -> Column:
+    return _total(F.when(condition, F.col("rows")))
+
+
+def fact_key_checks(profile: DataFrame) -> DataFrame:
+    """Fact rows without a lender or a place, from the fact's key profile."""
     names = ("fact_lender_key_not_null", "fact_geography_key_not_null")
-    counts = fact.agg(
-        F.count_if(F.col("lender_key").isNull()).alias(names[0]),
-        F.count_if(F.col("geography_key").isNull()).alias(names[1]),
+    counts = profile.agg(
+        _rows_if(F.col("lender_key").isNull()).alias(names[0]),
+        _rows_if(F.col("geography_key").isNull()).alias(names[1]),
     )
     return _report(counts, [(name, name, CHECK_DETAILS[name]) for name in names])
 
 
-def fact_rule_checks(fact: DataFrame) -> DataFrame:
+def fact_rule_checks(profile: DataFrame) -> DataFrame:
+    """Fact rows that break an amount rule, from the fact's key profile."""
     names = ("fact_non_negative_amounts", "fact_guaranty_not_above_approved")
-    counts = fact.agg(
-        F.count_if(negative_fact_amounts()).alias(names[0]),
-        F.count_if(guaranty_above_approved("guaranty_dollars")).alias(names[1]),
-    )
+    counts = profile.agg(*[_total(F.col(name)).alias(name) for name in names])
     return _report(counts, [(name, name, CHECK_DETAILS[name]) for name in names])
 
 
 def quality_report(
-    extracts: dict[str, DataFrame], star: Star, states: Sequence[str] = tuple(sorted(STATE_REGIONS))
+    extracts: dict[str, DataFrame],
+    star: Star,
+    states: Sequence[str] = tuple(sorted(STATE_REGIONS)),
+    counted: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """Four checks per cleaned table and seven over the star schema."""
-    parts = [source_checks(name, rows) for name, rows in extracts.items()]
+    """Four checks per cleaned table and seven over the star schema.
+
+    ``counted`` holds, by table, counts that its write has taken (:func:`row_counts`, and
+    ``duplicate_rows``); other tables are read. The fact is read once, for its key profile.
+    """
+    counted = counted or {}
+    profile = stored(fact_profile(star.fact), "fact-profile")
+    parts = [
+        counted_checks(rows.sparkSession, name, counted[name]) if name in counted else source_checks(name, rows)
+        for name, rows in extracts.items()
+    ]
     parts += [
         unique_key_check("dim_lender_unique_key", star.dim_lender, "lender_key"),
         unique_key_check("dim_geography_unique_key", star.dim_geography, "geography_key"),
-        fact_key_checks(star.fact),
+        fact_key_checks(profile),
         accepted_states_check(star.dim_geography, states),
-        fact_rule_checks(star.fact),
+        fact_rule_checks(profile),
     ]
     return _union(parts)
 
@@ -171,6 +232,16 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Dat
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Each value without a parent row, and how many child rows have it.
+
+    Distinct values meet the parent, so that a value with a third of all rows is one row in the join.
+    """
+    rows = F.sum("rows") if "rows" in child.columns else F.count("*")
+    values = child.where(F.col(column).isNotNull()).groupBy(column).agg(rows.alias("rows"))
+    return orphans(values, column, parent, field)
+
+
 # --- declarative expectations per model ---------------------------------------
 
 
@@ -217,6 +288,9 @@ MODEL_EXPECTATIONS = [
 ]
 
 
+FACT_MODEL = "fct_lending_activity"
+
+
 def failing_rows(models: dict[str, DataFrame], expectation: Expectation) -> DataFrame:
     """The rows (for ``unique``: the repeated values) that break an expectation."""
     rows, column = models[expectation.model], F.col(expectation.column)
@@ -232,31 +306,45 @@ def failing_rows(models: dict[str, DataFrame], expectation: Expectation) -> Data
     raise ValueError(f"unknown expectation: {expectation.kind}")
 
 
-def _failure(expectation: Expectation) -> Column:
+def _failed_rows(expectation: Expectation, profiled: bool) -> Column:
+    """Rows that break a row-wise expectation; of a profile, its rows count for as many as they stand for."""
     column = F.col(expectation.column)
-    if expectation.kind == "not_null":
-        return column.isNull()
-    return _holds(~column.isin(*expectation.values))
+    if expectation.kind == "accepted_values":
+        failed = _holds(~column.isin(*expectation.values))
+    elif profiled and expectation.column not in FACT_KEYS:
+        return _total(F.col(f"null_{expectation.column}"))
+    else:
+        failed = column.isNull()
+    return _rows_if(failed) if profiled else F.count_if(failed)
 
 
 def check_expectations(
     models: dict[str, DataFrame], expectations: Sequence[Expectation] = MODEL_EXPECTATIONS
 ) -> DataFrame:
-    """Report rows for all expectations; a model's row-wise ones share one aggregate."""
+    """Report rows for all expectations; a model's row-wise ones share one aggregate.
+
+    The fact is read once, for its key profile; its relationships are checked on distinct keys.
+    """
     details = {
         "not_null": "Column must have a value.",
         "unique": "Column value must not repeat.",
         "accepted_values": "Column value must be in the accepted list.",
         "relationships": "Column value must exist in the parent model.",
     }
+    read = dict(models)
+    if any(e.model == FACT_MODEL for e in expectations):
+        read[FACT_MODEL] = stored(fact_profile(models[FACT_MODEL]), "fact-profile")
     parts = []
     row_wise = [e for e in expectations if e.kind in ("not_null", "accepted_values")]
     for model in dict.fromkeys(e.model for e in row_wise):
         own = [e for e in row_wise if e.model == model]
-        counts = models[model].agg(*[F.count_if(_failure(e)).alias(e.name) for e in own])
+        counts = read[model].agg(*[_failed_rows(e, model == FACT_MODEL).alias(e.name) for e in own])
         parts.append(_report(counts, [(e.name, e.name, details[e.kind]) for e in own]))
     for e in expectations:
-        if e not in row_wise:
+        if e.kind == "relationships":
+            found = orphan_keys(read[e.model], e.column, models[e.parent], e.column)
+            parts.append(_report(found.agg(_total(F.col("rows")).alias(e.name)), [(e.name, e.name, details[e.kind])]))
+        elif e.kind == "unique":
             counts = failing_rows(models, e).agg(F.count("*").alias(e.name))
             parts.append(_report(counts, [(e.name, e.name, details[e.kind])]))
     return _union(parts)

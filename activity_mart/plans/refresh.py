@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import COUNTY_EXTRACT, EXTRACTS, LENDER_EXTRACT, ExtractSpec
-from activity_mart.operators.cleaning import REASON, clean, cleaning_log, quarantine, tag
-from activity_mart.operators.expectations import assert_quality, quality_report
+from activity_mart.operators.cleaning import STATUS, clean, log_counts, log_table, quarantine, surplus_rows, tag
+from activity_mart.operators.expectations import assert_quality, quality_report, row_counts
 from activity_mart.operators.star import Star, build_star
 from activity_mart.plans.analytics import run_analytics
 from activity_mart.sources.readers import read_extracts, state_regions
 from activity_mart.sources.sinks import register_views, write_table, write_tables
-from activity_mart.sources.store import side_by_side, stored
+from activity_mart.sources.store import counted, run_folder, side_by_side, stored
 
 
 @dataclass(frozen=True)
@@ -28,6 +27,11 @@ class Refresh:
     analytics: dict[str, DataFrame]
 
 
+def parse(raw: DataFrame, spec: ExtractSpec) -> tuple[DataFrame, dict[str, int]]:
+    """The tagged extract as a table partitioned by row status, and its log counts, in one pass."""
+    return counted(tag(raw, spec), log_counts(spec), lambda rows: stored(rows, f"tagged-{spec.name}", [STATUS]))
+
+
 def refresh(
     spark: SparkSession,
     root: str,
@@ -35,52 +39,56 @@ def refresh(
     specs: dict[str, ExtractSpec] = EXTRACTS,
     fmt: str = "csv",
     gate: bool = True,
+    out_fmt: str = "parquet",
+    quoted_line_breaks: bool = False,
 ) -> Refresh:
-    """Run every stage on the tables the stage before wrote; raise last if a check failed."""
-    raw = read_extracts(spark, specs, root, fmt)
-    # The delivery is parsed once; clean rows, rejects and log read the tagged copy,
-    # each only its own partitions.
-    parsed = side_by_side(
-        spark,
-        {
-            name: lambda name=name, rows=rows: stored(
-                tag(rows, specs[name]), f"tagged-{name}", partition_by=[REASON]
-            )
-            for name, rows in raw.items()
-        },
-    )
-    tagged = {specs[name]: rows for name, rows in parsed.items()}
-    cleaned = write_tables({spec.name: clean(rows) for spec, rows in tagged.items()}, f"{out}/processed")
-    rejected = write_table(quarantine(tagged), f"{out}/quality/rejected_records")
-    logs = [
-        cleaning_log(rows, spec).select(
-            "source_table",
-            "raw_rows",
-            "rows_after_blank_drop",
-            "clean_rows",
-            "rows_removed",
-            "rows_rejected",
-            "duplicate_rows",
-            F.map_filter(
-                F.create_map(*[part for c in spec.required for part in (F.lit(c), F.col(f"missing_{c}"))]),
-                lambda _, missing: missing > 0,
-            ).alias("missing_before"),
+    """Run every stage on the tables the stage before wrote; raise last if a check failed.
+
+    The delivery is read once: its write by row status takes the log's counts, and clean rows and
+    rejects then read only their own partitions. The write of the cleaned tables counts missing
+    cells and broken rules; duplicates take one shuffle, for log and report alike.
+    """
+    raw = read_extracts(spark, specs, root, fmt, quoted_line_breaks)
+    with run_folder(spark):
+        parsed = side_by_side(spark, {name: lambda name=name, rows=rows: parse(rows, specs[name]) for name, rows in raw.items()})
+        written = side_by_side(
+            spark,
+            {
+                name: lambda name=name, tagged=tagged: _write_cleaned(clean(tagged), f"{out}/processed/{name}", out_fmt)
+                for name, (tagged, _) in parsed.items()
+            },
+        )
+        cleaned = {name: rows for name, (rows, _) in written.items()}
+        rejected = write_table(
+            quarantine({specs[name]: tagged for name, (tagged, _) in parsed.items()}), f"{out}/quality/rejected_records", out_fmt
+        )
+        duplicates = side_by_side(
+            spark, {name: lambda rows=rows: surplus_rows(rows).first().duplicate_rows for name, rows in cleaned.items()}
+        )
+        logged = {specs[name]: {**counts, "duplicate_rows": duplicates[name]} for name, (_, counts) in parsed.items()}
+        log = write_table(_flat(log_table(spark, logged), out_fmt), f"{out}/quality/cleaning_log", out_fmt)
+
+        star = build_star(
+            cleaned[LENDER_EXTRACT.name],
+            cleaned[COUNTY_EXTRACT.name],
+            state_regions(spark),
+            save=lambda df, name, partition_by=None: write_table(df, f"{out}/warehouse/{name}", out_fmt, partition_by),
+        )
+        counts = {name: {**taken, "duplicate_rows": duplicates[name]} for name, (_, taken) in written.items()}
+        report = write_table(
+            quality_report(cleaned, star, counted=counts), f"{out}/quality/data_quality_report", out_fmt
         )
-        for spec, rows in tagged.items()
-    ]
-    log = write_table(reduce(DataFrame.unionByName, logs), f"{out}/quality/cleaning_log")
-
-    star = build_star(
-        cleaned[LENDER_EXTRACT.name],
-        cleaned[COUNTY_EXTRACT.name],
-        state_regions(spark),
-        save=lambda df, name, partition_by=None: write_table(
-            df, f"{out}/warehouse/{name}", partition_by=partition_by
-        ),
-    )
-    report = write_table(quality_report(cleaned, star), f"{out}/quality/data_quality_report")
-    register_views({**cleaned, **star.tables(), "rejected_records": rejected, "data_quality_report": report})
-    analytics = write_tables(run_analytics(cleaned), f"{out}/analytics")
-    if gate:
-        assert_quality(report)
+        register_views({**cleaned, **star.tables(), "rejected_records": rejected, "data_quality_report": report})
+        analytics = write_tables(run_analytics(cleaned), f"{out}/analytics", out_fmt)
+        if gate:
+            assert_quality(report)
     return Refresh(cleaned, rejected, log, star, report, analytics)
+
+
+def _write_cleaned(rows: DataFrame, path: str, fmt: str) -> tuple[DataFrame, dict[str, int]]:
+    return counted(rows, row_counts(rows.columns), lambda counted_rows: write_table(counted_rows, path, fmt))
+
+
+def _flat(log: DataFrame, fmt: str) -> DataFrame:
+    """A map has no place in a CSV cell; there it is JSON."""
+    return log.withColumn("missing_before", F.to_json("missing_before")) if fmt == "csv" else log

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from activity_mart.sources.readers import text_csv
 from activity_mart.sources.store import side_by_side
@@ -11,9 +12,12 @@ from activity_mart.sources.store import side_by_side
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> DataFrame:
-    """Overwrite ``path`` and return a frame over what was written."""
+    """Overwrite ``path`` and return a frame over what was written, with the types of ``df``.
+
+    CSV files hold every column, so that they are not partitioned.
+    """
     writer = df.write.mode("overwrite")
-    if partition_by:
+    if partition_by and fmt != "csv":
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         # Keep padding and print a true null as an empty cell.
@@ -24,7 +28,8 @@ def write_table(
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
-        return text_csv(df.sparkSession, path, df.columns)
+        back = text_csv(df.sparkSession, path, df.columns)
+        return back.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema])
     writer.format(fmt).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
 

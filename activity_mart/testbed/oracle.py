@@ -659,26 +659,44 @@ def _quarantine() -> str:
     )
 
 
+def _missing_text(counts: dict[str, str]) -> str:
+    """``column=n`` for each column with missing values, in the order of their names."""
+    each = [f"CASE WHEN {n} > 0 THEN '{c}=' || {n} END" for c, n in sorted(counts.items())]
+    return f"concat_ws(', ', {', '.join(each)})"
+
+
 def _log() -> str:
-    required = [*_LENDER, *_AMOUNTS]
-    missing = ", ".join(f"{_if(f'NOT is_blank AND {c} IS NULL')} AS missing_{c}" for c in required)
-    return f"""
+    missing = {c: _if(f"NOT is_blank AND {c} IS NULL") for c in (*_LENDER, *_AMOUNTS)}
+    lender = f"""
         SELECT 'sba_lender_activity' AS source_table, count(*) AS raw_rows,
                {_if("NOT is_blank")} AS rows_after_blank_drop,
                {_if("NOT is_blank AND rejection_reason IS NULL")} AS clean_rows,
                {_if("is_blank OR rejection_reason IS NOT NULL")} AS rows_removed,
-               {_if("rejection_reason IS NOT NULL")} AS rows_rejected, {missing},
+               {_if("rejection_reason IS NOT NULL")} AS rows_rejected,
                (SELECT (SELECT count(*) FROM cleaned) - count(*) FROM (SELECT DISTINCT * FROM cleaned))
-                   AS duplicate_rows
+                   AS duplicate_rows, {_missing_text(missing)} AS missing_before
         FROM judged"""
+    loans = "TRY_CAST(approved_loans AS DECIMAL(38,10))"
+
+    def dirty(table: str, name: str) -> str:
+        return f"""
+            SELECT '{name}', count(*), count(*), {_if(f"{loans} > 0")}, {_if(f"coalesce({loans}, 0) <= 0")},
+                   {_if(f"coalesce({loans}, 0) <= 0")},
+                   {_if(f"{loans} > 0")} - (SELECT count(*) FROM (SELECT DISTINCT * FROM {table} WHERE {loans} > 0)),
+                   {_missing_text({"approved_loans": _if(f"{loans} IS NULL")})}
+            FROM {table}"""
+
+    return _union([lender, dirty("dirty_c", "sba_lender_county_activity"), dirty("dirty_d", "sba_district_office_activity")])
 
 
 def _null_cells(name: str) -> str:
     table, extra = _TABLES[name]
     columns = _columns(extra)
-    each = ", ".join(f"{_if(f'{c} IS NULL')} AS null_{c}" for c in columns)
-    cells = " + ".join(_if(f"{c} IS NULL") for c in columns)
-    return f"SELECT {each}, CAST({cells} AS BIGINT) AS null_cells FROM {table}"
+    cells = {c: _if(f"{c} IS NULL") for c in columns}
+    cells["cells"] = " + ".join(cells.values())
+    return _union(
+        [f"SELECT '{name}' AS source_table, '{c}' AS column_name, CAST({n} AS BIGINT) AS missing FROM {table}" for c, n in cells.items()]
+    )
 
 
 def _null_token(column: str) -> str:
@@ -804,9 +822,17 @@ QUERIES = {
                CASE WHEN abs(fact_dollars - source_dollars) <= 0.01 THEN 'pass' ELSE 'fail' END AS status
         FROM (SELECT (SELECT sum(approved_dollars) FROM ffact_in) AS fact_dollars,
                      (SELECT sum(approved_dollars) FROM fsc) AS source_dollars)""",
-    "orphans": "SELECT lender_name, count(*) AS rows FROM fsc "
-    "WHERE lender_name NOT IN (SELECT lender_name FROM fdim_l) GROUP BY lender_name",
-    # measures
+    "orphans": _union(
+        [
+            "SELECT 'lender' AS relationship, lender_name AS value, count(*) AS rows FROM fsc "
+            "WHERE lender_name NOT IN (SELECT lender_name FROM fdim_l) GROUP BY lender_name",
+            "SELECT 'state', project_state, count(*) FROM fsc "
+            "WHERE project_state NOT IN (SELECT state FROM lookup) GROUP BY project_state",
+            "SELECT 'period', CAST(date_key AS VARCHAR), count(*) FROM ffact "
+            "WHERE date_key NOT IN (SELECT date_key FROM dim_d) GROUP BY date_key",
+        ]
+    ),
+    # semantic measures
     "m_base": f"SELECT region, state, {_BASE} FROM flat GROUP BY region, state",
     "m_ratios": f"SELECT lender_state, {_BASE}, {_RATIOS} FROM flat GROUP BY lender_state",
     "m_lender_share": f"""
@@ -848,7 +874,7 @@ QUERIES = {
         FROM flat GROUP BY ROLLUP (region, state)""",
     "dq_page": _quality_page(),
     # data quality, on tables with broken rows
-    "dq_missing": _null_cells("sba_lender_county_activity"),
+    "dq_missing": _union([_null_cells(name) for name in _TABLES]),
     "dq_duplicates": _union([_source_rule("duplicate_rows", name) for name in _TABLES]),
     "dq_row_rules": _union(
         [
@@ -857,9 +883,29 @@ QUERIES = {
             for rule in ("non_negative_amounts", "guaranty_not_above_approved")
         ]
     ),
-    "dq_unique_keys": _union([_star_check(n) for n in _STAR_RULES if n.endswith("unique_key")]),
-    "dq_fact_keys": _union([_star_check(n) for n in _STAR_RULES if n.endswith("not_null")]),
-    "dq_accepted_states": _star_check("dim_geography_valid_state_codes"),
+    "dq_unique_keys": _union(
+        [
+            _check("dim_lender_unique_key", _if("lender_key % 4 = 0"), "fdim_l", CHECK_DETAILS["dim_lender_unique_key"]),
+            _star_check("dim_geography_unique_key"),
+        ]
+    ),
+    "dq_fact_keys": _union(
+        [
+            _star_check("fact_lender_key_not_null"),
+            _check(
+                "fact_geography_key_not_null",
+                _if("geography_key IS NULL OR geography_key % 3 = 0"),
+                "ffact",
+                CHECK_DETAILS["fact_geography_key_not_null"],
+            ),
+        ]
+    ),
+    "dq_accepted_states": _check(
+        "dim_geography_valid_state_codes",
+        _if("state IS NULL OR CAST(substr(state, 8) AS INTEGER) % 5 = 0"),
+        "dim_g",
+        CHECK_DETAILS["dim_geography_valid_state_codes"],
+    ),
     "dq_fact_rules": _union(
         [_star_check(n) for n in ("fact_non_negative_amounts", "fact_guaranty_not_above_approved")]
     ),
@@ -869,6 +915,9 @@ QUERIES = {
         [
             _failing("non_negative_amounts", "approved_loan_count < 0 OR approved_dollars < 0 OR guaranty_dollars < 0"),
             _failing("guaranty_not_above_approved", "guaranty_dollars > approved_dollars"),
+            "SELECT 'reconciles_to_source', NULL, NULL, NULL, CAST(fact_dollars - source_dollars AS DECIMAL(18,2)), NULL "
+            "FROM (SELECT (SELECT sum(approved_dollars) FROM ffact_in) AS fact_dollars, "
+            "(SELECT sum(approved_dollars) FROM fsc) AS source_dollars) WHERE abs(fact_dollars - source_dollars) > 0.01",
         ]
     ),
     # display and rounding

@@ -19,7 +19,6 @@ from activity_mart.contracts import (
     MONEY,
     MONEY_TOTAL,
     PERCENT,
-    STATE_REGIONS,
 )
 from activity_mart.functions import display, text
 from activity_mart.functions.numeric import rounded_percent, rounded_ratio
@@ -111,11 +110,24 @@ def _rejected(reason: str) -> Query:
 
 
 def quarantine_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = {LENDER_EXTRACT: _tagged(spark, sf_dir)}
-    for spec in (COUNTY_EXTRACT, DISTRICT_EXTRACT):
-        rows = tables.extract(spark, sf_dir, spec.name)
-        tagged[spec] = cleaning.tag(tables.dirty_delivery(rows, spec), spec)
-    return cleaning.quarantine(tagged)
+    deliveries = tables.deliveries(spark, sf_dir)
+    return cleaning.quarantine({EXTRACTS[name]: cleaning.tag(rows, EXTRACTS[name]) for name, rows in deliveries.items()})
+
+
+def cleaning_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of all three deliveries: counts that their writes took, and the duplicates among clean rows."""
+    parsed = tables.parsed(spark, sf_dir)
+    found = {
+        name: lambda rows=rows: cleaning.surplus_rows(cleaning.round_amounts(cleaning.valid_rows(rows))).first().duplicate_rows
+        for name, (rows, _) in parsed.items()
+    }
+    duplicates = side_by_side(spark, found)
+    log = cleaning.log_table(
+        spark, {EXTRACTS[name]: {**counts, "duplicate_rows": duplicates[name]} for name, (_, counts) in parsed.items()}
+    )
+    entry = lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
+    missing = F.transform(F.array_sort(F.map_entries("missing_before")), entry)
+    return log.withColumn("missing_before", F.array_join(missing, ", "))
 
 
 def stg_county(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,10 +199,22 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three relationships: a lender without its row, a state outside the lookup, a period without its date."""
+    star = tables.flawed_star(spark, sf_dir)
     rows = staging.stage_county(_flawed_counties(spark, sf_dir))
-    lenders = tables.flawed_star(spark, sf_dir).dim_lender
-    missing = expectations.orphans(rows, "lender_name", lenders, "lender_name")
-    return missing.groupBy("lender_name").agg(F.count("*").alias("rows"))
+    relations = {
+        "lender": (rows, "lender_name", star.dim_lender, "lender_name"),
+        "state": (rows, "project_state", tables.regions(spark, sf_dir), "state"),
+        "period": (star.fact, "date_key", star.dim_date, "date_key"),
+    }
+    return _union(
+        [
+            expectations.orphan_keys(child, column, parent, field).select(
+                F.lit(name).alias("relationship"), F.col(column).cast("string").alias("value"), "rows"
+            )
+            for name, (child, column, parent, field) in relations.items()
+        ]
+    )
 
 
 def _on_star(build: Callable[[star_schema.Star], DataFrame]) -> Query:
@@ -314,6 +338,45 @@ def _duplicates(name: str, rows: DataFrame) -> DataFrame:
     return expectations.source_checks(name, rows).where(F.col("check_name") == f"{name}_duplicate_rows")
 
 
+def dq_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nulls by column of all three tables, as their writes counted them."""
+    rows = [
+        (name, column.removeprefix("null_"), n)
+        for name, counts in tables.flawed_counts(spark, sf_dir).items()
+        for column, n in counts.items()
+        if column.startswith("null_")
+    ]
+    return spark.createDataFrame(rows, "source_table string, column_name string, missing long")
+
+
+def dq_row_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = ("non_negative_amounts", "guaranty_not_above_approved")
+    return _union(
+        [expectations.counted_checks(spark, name, counts, rules) for name, counts in tables.flawed_counts(spark, sf_dir).items()]
+    )
+
+
+def _unique_keys(star: star_schema.Star) -> DataFrame:
+    """A lender dimension in which every fourth key comes twice, and the geography as it is."""
+    lenders = star.dim_lender.unionByName(star.dim_lender.where("lender_key % 4 = 0"))
+    return _union(
+        [
+            expectations.unique_key_check("dim_lender_unique_key", lenders, "lender_key"),
+            expectations.unique_key_check("dim_geography_unique_key", star.dim_geography, "geography_key"),
+        ]
+    )
+
+
+def _fact_keys(star: star_schema.Star) -> DataFrame:
+    """A fact that lacks every third place as well."""
+    place = F.when(F.col("geography_key") % 3 != 0, F.col("geography_key"))
+    return expectations.fact_key_checks(expectations.fact_profile(star.fact.withColumn("geography_key", place)))
+
+
+# Four of five of the driver's states.
+ACCEPTED_STATES = [f"NATION_{i}" for i in range(25) if i % 5]
+
+
 def check_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.flawed_extracts(spark, sf_dir)
     star = tables.flawed_star(spark, sf_dir)
@@ -330,10 +393,14 @@ def check_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that break a rule, and the one row of the reconciliation, with the dollars that drifted."""
     fact = tables.flawed_star(spark, sf_dir).fact
+    drift = (F.col("fact_dollars") - F.col("source_dollars")).cast(MONEY)
+    absent = {c: F.lit(None).cast(FACT[c].dataType) for c in FACT.names if c != "approved_dollars"}
     found = {
         "non_negative_amounts": expectations.negative_amount_rows(fact),
         "guaranty_not_above_approved": expectations.guaranty_above_approved_rows(fact),
+        "reconciles_to_source": reconcile(spark, sf_dir).where("status <> 'pass'").withColumns({**absent, "approved_dollars": drift}),
     }
     return _union(
         [
@@ -427,7 +494,7 @@ QUERIES: dict[str, Query] = {
     "clean_rows": lambda s, d: cleaning.valid_rows(_tagged(s, d)),
     "round_amounts": lambda s, d: cleaning.round_amounts(cleaning.valid_rows(_tagged(s, d))),
     "derive_row_ratios": lambda s, d: cleaning.clean(_tagged(s, d)),
-    "cleaning_log": lambda s, d: cleaning.cleaning_log(_tagged(s, d), LENDER_EXTRACT),
+    "cleaning_log": cleaning_log,
     "stg_lender": _on_lenders(staging.stage_lender),
     "stg_county": stg_county,
     "stg_district": _on_districts(staging.stage_district),
@@ -475,22 +542,17 @@ QUERIES: dict[str, Query] = {
     "page_geography": page_geography,
     "region_rollup": _on_star(pages.region_rollup),
     "dq_page": dq_page,
-    "dq_missing": lambda s, d: expectations.missing_cells(_flawed_counties(s, d)),
+    "dq_missing": dq_missing,
     "dq_duplicates": _per_flawed_extract(_duplicates),
-    "dq_row_rules": _per_flawed_extract(expectations.row_rules),
-    "dq_unique_keys": _on_flawed_star(
-        lambda star: _union(
-            [
-                expectations.unique_key_check("dim_lender_unique_key", star.dim_lender, "lender_key"),
-                expectations.unique_key_check("dim_geography_unique_key", star.dim_geography, "geography_key"),
-            ]
-        )
-    ),
-    "dq_fact_keys": _on_flawed_star(lambda star: expectations.fact_key_checks(star.fact)),
+    "dq_row_rules": dq_row_rules,
+    "dq_unique_keys": _on_flawed_star(_unique_keys),
+    "dq_fact_keys": _on_flawed_star(_fact_keys),
     "dq_accepted_states": _on_flawed_star(
-        lambda star: expectations.accepted_states_check(star.dim_geography, sorted(STATE_REGIONS))
+        lambda star: expectations.accepted_states_check(star.dim_geography, ACCEPTED_STATES)
+    ),
+    "dq_fact_rules": _on_flawed_star(
+        lambda star: expectations.fact_rule_checks(expectations.fact_profile(star.fact))
     ),
-    "dq_fact_rules": _on_flawed_star(lambda star: expectations.fact_rule_checks(star.fact)),
     "quality_report": quality_report,
     "expectations": check_models,
     "failing_rows": failing_rows,

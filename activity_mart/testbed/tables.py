@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from activity_mart.contracts import (
     COUNTY_EXTRACT,
     DISTRICT_EXTRACT,
+    EXTRACTS,
     GEOGRAPHY_ID,
     LENDER_EXTRACT,
     LENDER_ID,
@@ -27,8 +28,10 @@ from activity_mart.contracts import (
     ExtractSpec,
 )
 from activity_mart.operators.cleaning import derive_ratios
+from activity_mart.operators.expectations import row_counts
 from activity_mart.operators.star import Star, build_star
-from activity_mart.sources.store import side_by_side, stored
+from activity_mart.plans.refresh import parse
+from activity_mart.sources.store import counted, side_by_side, stored
 
 _built: dict[tuple[str, str, str], object] = {}
 _locks: dict[tuple[str, str, str], threading.Lock] = {}
@@ -209,10 +212,8 @@ def flawed(rows: DataFrame) -> DataFrame:
     return repeated.withColumns(broken)
 
 
-def flawed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Flawed extracts; every seventh lender also carries another name in the lender one."""
-
-    def build() -> dict[str, DataFrame]:
+def _flawed(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, dict[str, int]]]:
+    def build() -> dict[str, tuple[DataFrame, dict[str, int]]]:
         tables = {name: flawed(rows) for name, rows in extracts(spark, sf_dir).items()}
         renamed = F.when(F.col("approved_dollars") * 100 % 7 == 0, F.concat("lender", F.lit(" (former)")))
         tables[LENDER_EXTRACT.name] = tables[LENDER_EXTRACT.name].withColumn(
@@ -221,7 +222,9 @@ def flawed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return side_by_side(
             spark,
             {
-                name: lambda name=name, rows=rows: stored(rows, f"flawed-{name}")
+                name: lambda name=name, rows=rows: counted(
+                    rows, row_counts(rows.columns), lambda kept: stored(kept, f"flawed-{name}")
+                )
                 for name, rows in tables.items()
             },
         )
@@ -229,6 +232,16 @@ def flawed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _once(spark, sf_dir, "flawed-extracts", build)
 
 
+def flawed_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Flawed extracts; every seventh lender also carries another name in the lender one."""
+    return {name: rows for name, (rows, _) in _flawed(spark, sf_dir).items()}
+
+
+def flawed_counts(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, int]]:
+    """What the writes of the flawed extracts counted."""
+    return {name: counts for name, (_, counts) in _flawed(spark, sf_dir).items()}
+
+
 def flawed_star(spark: SparkSession, sf_dir: str) -> Star:
     """A star whose fact has unmatched lenders and broken amounts."""
 
@@ -307,6 +320,24 @@ def dirty_delivery(rows: DataFrame, spec: ExtractSpec) -> DataFrame:
     return text_delivery(rows.withColumn("approved_loans", loans), spec)
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The dirty deliveries of all three extracts."""
+    dirty = {
+        spec.name: dirty_delivery(extract(spark, sf_dir, spec.name), spec) for spec in (COUNTY_EXTRACT, DISTRICT_EXTRACT)
+    }
+    return {LENDER_EXTRACT.name: raw_delivery(spark, sf_dir), **dirty}
+
+
+def parsed(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, dict[str, int]]]:
+    """The deliveries as tables by row status, each with the counts that its write took."""
+
+    def build() -> dict[str, tuple[DataFrame, dict[str, int]]]:
+        raw = deliveries(spark, sf_dir)
+        return side_by_side(spark, {name: lambda name=name, rows=rows: parse(rows, EXTRACTS[name]) for name, rows in raw.items()})
+
+    return _once(spark, sf_dir, "parsed", build)
+
+
 def null_token_rows(rows: DataFrame) -> DataFrame:
     """Cleaned rows as text, with null tokens and padding for the bulk loader to resolve."""
     n = F.col("approved_loans")

@@ -6,8 +6,9 @@ import frames
 import pytest
 from pyspark.sql import functions as F
 
-from activity_mart.contracts import INVALID, LENDER_EXTRACT, MISSING, REJECTS
-from activity_mart.operators import cleaning
+from activity_mart.contracts import EXTRACTS, INVALID, LENDER_EXTRACT, MISSING, REJECTS
+from activity_mart.operators import cleaning, expectations
+from activity_mart.plans.refresh import parse
 from activity_mart.sources.readers import normalize_columns
 from activity_mart.testbed import tables
 
@@ -188,3 +189,24 @@ def test_every_delivered_row_is_accounted_for(spark, sf_dir):
     assert blank > 0 and log.rows_rejected > 0
     assert log.clean_rows + log.rows_rejected + blank == log.raw_rows
     assert log.rows_removed == log.rows_rejected + blank
+
+
+def test_counts_taken_by_the_write_equal_counts_read_back(spark, sf_dir):
+    for name, (rows, counts) in tables.parsed(spark, sf_dir).items():
+        spec = EXTRACTS[name]
+        log = cleaning.cleaning_log(rows, spec).first().asDict()
+        assert log.pop("source_table") == name and log.pop("duplicate_rows") >= 0
+        assert counts == log
+        assert rows.columns == cleaning.tag(tables.deliveries(spark, sf_dir)[name], spec).columns
+    for name, counts in tables.flawed_counts(spark, sf_dir).items():
+        rows = tables.flawed_extracts(spark, sf_dir)[name]
+        assert counts == {**expectations.missing_cells(rows).first().asDict(), **{r.check_name.removeprefix(f"{name}_"): r.failed_count for r in expectations.row_rules(name, rows).collect()}}
+
+
+def test_counts_of_no_rows_are_zero(spark):
+    nothing = frames.raw(spark, [GOOD]).where("Lender = 'nobody'")
+    for raw in (nothing, frames.raw(spark, [])):
+        rows, counts = parse(raw, LENDER_EXTRACT)
+        assert rows.count() == 0 and set(counts.values()) == {0} and counts.keys() > {"raw_rows", "missing_lender"}
+        log = cleaning.log_table(spark, {LENDER_EXTRACT: {**counts, "duplicate_rows": 0}}).first()
+        assert (log.raw_rows, log.missing_before) == (0, {})

@@ -7,7 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from activity_mart.testbed import tables
+from activity_mart.contracts import EXTRACTS
+from activity_mart.operators import cleaning, expectations
+from activity_mart.testbed import registry, tables
 
 QUERIES = contract.queries()
 
@@ -53,3 +55,34 @@ def test_loans_are_summed_before_they_meet_the_supplier(spark, sf_dir):
 def test_slicers_reach_the_dimension_scan(spark, sf_dir):
     plan = plan_of(QUERIES["measure_slice"](spark, sf_dir))
     assert "PushedFilters: [In(lender_state, [ASIA])" in plan or "EqualTo(lender_state,ASIA)" in plan
+
+
+def partition_filters(plan: str) -> list[str]:
+    return re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+
+
+@pytest.mark.parametrize("name", sorted(EXTRACTS))
+def test_clean_rows_and_rejects_read_their_own_partitions(name, spark, sf_dir):
+    rows, _ = tables.parsed(spark, sf_dir)[name]
+    clean = partition_filters(plan_of(cleaning.clean(rows)))
+    assert len(clean) == 1 and "row_status" in clean[0] and "clean" in clean[0]
+    rejected = partition_filters(plan_of(cleaning.rejects(rows, EXTRACTS[name])))
+    assert len(rejected) == 1 and "missing_required_value" in rejected[0] and "invalid_amount" in rejected[0]
+    # Whole: nothing falls between the partitions.
+    blank = rows.where("row_status = 'blank'").count()
+    assert cleaning.valid_rows(rows).count() + cleaning.rejects(rows, EXTRACTS[name]).count() + blank == rows.count()
+
+
+def test_the_log_does_not_read_the_delivery_again(spark, sf_dir):
+    plan = plan_of(registry.QUERIES["cleaning_log"](spark, sf_dir))
+    assert "FileScan" not in plan
+    for name in ("dq_missing", "dq_row_rules"):
+        assert "FileScan" not in plan_of(registry.QUERIES[name](spark, sf_dir))
+
+
+def test_checks_of_the_fact_read_its_profile(spark, sf_dir):
+    star = tables.star(spark, sf_dir)
+    fact = star.fact.inputFiles()[0].rpartition("/fact_lending_activity")[2].split("/")[0]
+    for report in (registry.check_models(spark, sf_dir), expectations.quality_report({}, star)):
+        plan = plan_of(report)
+        assert f"fact_lending_activity{fact}" not in plan and "fact-profile" in plan

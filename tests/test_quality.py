@@ -130,3 +130,23 @@ def test_failing_rows_are_returned(spark):
 def test_missing_cells(spark):
     row = expectations.missing_cells(frames.lenders(spark, [("A", "B", None, 0, "1", "1")])).first()
     assert (row.null_lender_state, row.null_avg_loan_size, row.null_cells) == (1, 1, 2)
+
+
+def test_orphan_keys_count_rows(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("c",)], "name string")
+    parent = spark.createDataFrame([("b",), ("b",)], "known string")
+    found = expectations.orphan_keys(rows, "name", parent, "known")
+    assert {(r.name, r["rows"]) for r in found.collect()} == {("a", 2), ("c", 1)}
+    profile = spark.createDataFrame([("a", 5), ("a", 7), ("b", 1), (None, 3)], "name string, rows long")
+    assert [tuple(r) for r in expectations.orphan_keys(profile, "name", parent, "known").collect()] == [("a", 12)]
+
+
+def test_the_profile_stands_for_every_row(spark):
+    counties = [*frames.COUNTIES, frames.COUNTIES[0], ("Stray Bank", "Reno", "NV", "ZZ", "NOWHERE", -1, "10.00", "15.00")]
+    fact = built(spark, frames.extracts(spark, county_rows=counties)).fact
+    profile = expectations.fact_profile(fact)
+    assert profile.count() == 5 and profile.groupBy().sum("rows").first()[0] == 6
+    rules = {r.check_name: r.failed_count for r in expectations.fact_rule_checks(profile).collect()}
+    assert rules == {"fact_non_negative_amounts": 1, "fact_guaranty_not_above_approved": 1}
+    empty = expectations.fact_rule_checks(expectations.fact_profile(fact.where("false"))).collect()
+    assert {(r.status, r.failed_count) for r in empty} == {("pass", 0)}

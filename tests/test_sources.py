@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+from pathlib import Path
 
 import frames
 import pytest
@@ -192,6 +193,49 @@ def test_refresh_gate_raises_after_writing(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/analytics/kpi_summary")).count() == 1
 
 
+def under(folder):
+    return {p for p in folder.rglob("*") if p.is_file()} if folder.exists() else set()
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_nothing_of_a_run_remains_but_its_outputs(spark, tmp_path, monkeypatch, fails):
+    shared = Path(store.shared_folder(spark).removeprefix("file:"))
+    before = under(shared)
+    deliver(tmp_path / "in", ["Alpha,Austin,TX,4,200.00,250.00", "Beta,Miami,FL,2,40,30"])
+    if fails:
+        with pytest.raises(QualityGateError):
+            refresh(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    else:
+        result = refresh(spark, str(tmp_path / "in"), str(tmp_path / "out"), gate=False)
+        for frame in (*result.cleaned.values(), result.rejected, result.log, *result.star.tables().values(), result.report, *result.analytics.values()):
+            frame.collect()
+    assert under(shared) == before
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"processed", "quality", "warehouse", "analytics"}
+
+
+def test_a_run_folder_goes_after_an_error(spark):
+    with pytest.raises(ZeroDivisionError), store.run_folder(spark) as folder:
+        back = store.side_by_side(spark, {"t": lambda: store.stored(spark.range(3), "t")})["t"]
+        assert back.count() == 3 and all(folder in f for f in back.inputFiles())
+        1 / 0  # noqa: B018
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert "run-" not in store.new_path(spark, "t")
+
+
+def test_refresh_as_csv_files(spark, tmp_path):
+    deliver(tmp_path / "in", ["Alpha ,Austin,TX,4,200.00,150.00", "Beta,Miami,FL,2,40,30", "Bad,Reno,NV,n/a,1,1"])
+    typed = refresh(spark, str(tmp_path / "in"), str(tmp_path / "parquet"))
+    text = refresh(spark, str(tmp_path / "in"), str(tmp_path / "csv"), out_fmt="csv")
+    tables = {**typed.cleaned, **typed.star.tables(), **typed.analytics, "rejects": typed.rejected, "report": typed.report}
+    others = {**text.cleaned, **text.star.tables(), **text.analytics, "rejects": text.rejected, "report": text.report}
+    for name, frame in tables.items():
+        assert frame.schema.simpleString() == others[name].schema.simpleString()
+        assert sorted(map(repr, frame.collect())) == sorted(map(repr, others[name].collect())), name
+    header = next((tmp_path / "csv/warehouse/fact_lending_activity").glob("*.csv")).read_text().splitlines()[0]
+    assert header == ",".join(FACT.names)
+    assert '"{""approved_loans"":1}"' in "".join(f.read_text() for f in (tmp_path / "csv/quality/cleaning_log").glob("*.csv"))
+
+
 def test_the_job_reports_and_returns_an_exit_code(spark, tmp_path, capsys):
     deliver(tmp_path / "good", ["Alpha,Austin,TX,4,200.00,150.00", "Beta,Miami,FL,2,40,30"])
     assert run_refresh.main([str(tmp_path / "good"), str(tmp_path / "out1")]) == 0
