@@ -6,8 +6,9 @@ group at least: equal groups bring nodes together, and no link is lost.
 
 Within a group's nodes, the first ones are compared with the others. What that leaves unconnected
 goes to the R-tree: group counts are points, the overlap of two nodes is at most the sum of the
-smaller coordinates, and a box of points bounds it by its largest coordinates. The pairs that
-survive are verified on the shingles themselves. An R-tree alone would compare every document with
+smaller coordinates, and a box of points bounds it by its largest coordinates. Of the pairs that
+survive, first one for each two components that it joins is verified on the shingles themselves, then
+all that these links leave apart. An R-tree alone would compare every document with
 most others of its size, as boxes over so many coordinates overlap.
 
 Words, shingles and sets are told apart by 64-bit digests.
@@ -246,41 +247,95 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean").distinct()
 
 
-def _search(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of nodes of one bucket that the R-tree can't rule out, of different components.
-
-    ``rows`` holds whole meetings of two blocks of a bucket, any number of them.
+def _leaf_pairs(edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs within each run of at most ``BOX`` rows, runs of one length at a time."""
+    sizes = np.diff(edges)
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= BOX)]).tolist():
+        starts = edges[:-1][sizes == size][:, None]
+        one, other = np.triu_indices(size, 1)
+        yield (starts + one).ravel(), (starts + other).ravel()
+
+
+def _tree_pairs(point: np.ndarray, total: np.ndarray, asks: np.ndarray, held: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs that the boxes over ``held`` leave for each of ``asks``."""
+    # Packed boxes: neighbours in size and then in their strongest group lie together.
+    held = held[np.lexsort((point[held].argmax(axis=1), total[held]))]
+    first = np.arange(0, len(held), BOX)
+    box = np.maximum.reduceat(point[held], first, axis=0)
+    low, high = total[held][first], np.maximum.reduceat(total[held], first)
+    for i in asks.tolist():
+        size = total[i]
+        fits = (100 * high >= percent * size) & (100 * size >= percent * low)
+        fits[fits] = np.minimum(box[fits], point[i]).sum(axis=1) * (100 + percent) >= percent * (size + low[fits])
+        for leaf in np.flatnonzero(fits):
+            own = held[first[leaf] : first[leaf] + BOX]
+            yield np.full(len(own), i), own
+
+
+def _forest(a: np.ndarray, b: np.ndarray, part: np.ndarray, nearness: np.ndarray) -> np.ndarray:
+    """Places of the pairs that each join two components that the nearer pairs left apart."""
+    up = list(range(len(part)))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    taken = []
+    for i in np.argsort(-nearness, kind="stable").tolist():
+        x, y = top(part[a[i]]), top(part[b[i]])
+        if x != y:
+            up[x] = y
+            taken.append(i)
+    return np.array(taken, dtype=np.int64)
+
+
+def _search(rows: pd.DataFrame, percent: int, forest: bool) -> pd.DataFrame:
+    """Pairs of nodes of different components that the counts can't rule out; of ``forest``, one for each two components that it joins.
+
+    ``rows`` holds whole meetings of two blocks of a bucket, any number of them. A meeting that fits into one
+    leaf is scanned as that leaf, all such meetings at once.
     """
     rows = rows.sort_values(["signature", "low", "high"], kind="stable")
-    node, part = rows["node"].to_numpy(), rows["component"].to_numpy()
-    asks, answers = (rows["block"] == rows["low"]).to_numpy(), (rows["block"] == rows["high"]).to_numpy()
-    point = np.stack(rows["point"].to_numpy()).astype(np.int32)
+    names, first, node = np.unique(rows["node"].to_numpy(), return_index=True, return_inverse=True)
+    part = np.unique(rows["component"].to_numpy()[first], return_inverse=True)[1]
+    point = np.stack(rows["point"].iloc[first].to_numpy()).astype(np.int32)
+    total = point.sum(axis=1, dtype=np.int64)
+    block, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
     key = rows[["signature", "low", "high"]].to_numpy()
     edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
-    found = set()
-    for start, end in zip(edges[:-1], edges[1:], strict=True):
-        here = np.arange(start, end)
-        held = here[answers[start:end]]
-        total = point[held].sum(axis=1)
-        # Packed boxes: neighbours in size and then in their strongest group lie together.
-        order = np.lexsort((point[held].argmax(axis=1), total))
-        held, total = held[order], total[order]
-        if not len(held):
-            continue
-        first = np.arange(0, len(held), BOX)
-        box = np.maximum.reduceat(point[held], first, axis=0)
-        low, high = total[first], np.maximum.reduceat(total, first)
-        for i in here[asks[start:end]]:
-            size = point[i].sum()
-            fits = (100 * high >= percent * size) & (100 * size >= percent * low)
-            fits &= np.minimum(box, point[i]).sum(axis=1) * (100 + percent) >= percent * (size + low)
-            for leaf in np.flatnonzero(fits):
-                own = held[first[leaf] : first[leaf] + BOX]
-                own = own[part[own] != part[i]]
-                overlap = np.minimum(point[own], point[i]).sum(axis=1)
-                near = overlap * (100 + percent) >= percent * (size + point[own].sum(axis=1))
-                found.update((min(node[i], x), max(node[i], x)) for x in node[own][near].tolist())
-    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=np.int64)
+    left = np.empty(0, dtype=np.int64)
+    nearness = np.empty(0)
+
+    def kept(one: np.ndarray, other: np.ndarray) -> None:
+        nonlocal left, nearness
+        a, b = np.minimum(one, other), np.maximum(one, other)
+        near = (part[a] != part[b]) & (100 * np.minimum(total[a], total[b]) >= percent * np.maximum(total[a], total[b]))
+        pair = np.setdiff1d(np.unique(a[near] * len(names) + b[near]), left)
+        for at in range(0, len(pair), 8_192):
+            some = pair[at : at + 8_192]
+            a, b = some // len(names), some % len(names)
+            overlap, both = np.minimum(point[a], point[b]).sum(axis=1), total[a] + total[b]
+            fits = overlap * (100 + percent) >= percent * both
+            left, nearness = np.r_[left, some[fits]], np.r_[nearness, overlap[fits] / both[fits]]
+
+    for one, other in _leaf_pairs(edges):
+        across = (low[one] == high[one]) | (block[one] != block[other])
+        kept(node[one[across]], node[other[across]])
+    for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if end - start > BOX:
+            own = node[start:end]
+            asks, held = own[block[start:end] == low[start]], own[block[start:end] == high[start]]
+            if len(held):
+                found = list(_tree_pairs(point, total, asks, held, percent))
+                if found:
+                    kept(*map(np.concatenate, zip(*found, strict=True)))
+    a, b = left // max(1, len(names)), left % max(1, len(names))
+    if forest:
+        taken = _forest(a, b, part, nearness)
+        a, b = a[taken], b[taken]
+    return pd.DataFrame({"a": names[a], "b": names[b]}, dtype=np.int64)
 
 
 def _signed(sets: DataFrame, percent: int) -> DataFrame:
@@ -293,8 +348,8 @@ def _signed(sets: DataFrame, percent: int) -> DataFrame:
     return sets.mapInArrow(run, "node long, component long, signatures array<long>")
 
 
-def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that share a group but neither a component nor, yet, a comparison.
+def _in_doubt(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``signature, node`` of the buckets that hold nodes of several components, but for the first comparisons.
 
     A bucket whose first comparisons all held is one component. So only components that an
     unlinked comparison touches can be in a bucket with another one.
@@ -322,20 +377,31 @@ def _unconnected(checked: DataFrame, parts: DataFrame, sets: DataFrame, percent:
         }
     )
     # Two nodes alone have been compared. Buckets with the same nodes need one search.
-    members = stored(members.filter("low < high AND n > 2").drop("low", "high"), "join-members")
-    buckets = members.groupBy("n", "sum", "xor").agg(F.min("signature").alias("signature"))
+    members = stored(members.filter("low < high AND n > 2").drop("low", "high", "component"), "join-members")
+    buckets = members.groupBy("n", "sum", "xor").agg(F.min("signature").alias("signature")).select("signature")
+    return stored(members.select("signature", "node").join(buckets, "signature"), "join-buckets")
+
+
+def _unconnected(members: DataFrame, parts: DataFrame, checked: DataFrame, points_of: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs ``a, b`` that share a bucket but neither a component nor, yet, a comparison.
+
+    With ``forest``, a task gives at most one pair for each two components that it joins, the nearest
+    first; so the pairs are fewer than the nodes, however large a group of copies is. Without, all pairs that the counts leave.
+    """
+    own = members.join(parts, "node", "left").select("signature", "node", F.coalesce("component", "node").alias("component"))
+    several = own.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = members.select("signature", "node", "component").join(buckets.select("signature", blocks.alias("blocks")), "signature").withColumn(
+    rows = own.join(several.filter("low < high").select("signature", blocks.alias("blocks")), "signature").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("signature", "node", "component", "block", other)
     rows = rows.select("signature", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    meeting = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(16 * parts_of(sets.sparkSession))).alias("meeting")
+    meeting = F.pmod(F.xxhash64("signature", "low", "high"), F.lit(16 * parts_of(members.sparkSession))).alias("meeting")
     return (
-        rows.join(_points(_near(sets, members, "node")), "node")
+        rows.join(points_of, "node")
         .groupBy(meeting)
-        .applyInPandas(lambda some: _search(some, percent), "a long, b long")
+        .applyInPandas(lambda some: _search(some, percent, forest), "a long, b long")
         .distinct()
         .join(checked.select("a", "b"), ["a", "b"], "left_anti")
     )
@@ -393,9 +459,15 @@ def _located(docs: DataFrame, words: int, percent: int) -> DataFrame:
     later = stored(_verified(apart, sets, percent), "join-checked")
     checked = checked.unionByName(later)
     parts = _merged(parts, later)
-    more = stored(_verified(_unconnected(checked, parts, sets, percent), sets, percent), "join-checked")
-    parts = _merged(parts, more)
-    for done in (pairs, sets):
+    members = _in_doubt(checked, parts, sets, percent)
+    # Stored sets may hold a node twice.
+    points_of = stored(_points(_near(sets, members, "node")).dropDuplicates(["node"]), "join-points")
+    # Nearest pairs first, one for each two components; what they leave apart is compared in full.
+    for forest in (True, False):
+        more = stored(_verified(_unconnected(members, parts, checked, points_of, percent, forest), sets, percent), "join-checked")
+        checked = checked.unionByName(more)
+        parts = _merged(parts, more)
+    for done in (pairs, sets, members, points_of):
         drop_table(done)
 
     classes = profiles.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first_doc"))

@@ -400,3 +400,56 @@ def test_context_tree_scores_by_brute_force(docs, empty):
 
 def test_every_operator_is_registered():
     assert {name.partition("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
+
+
+def test_a_large_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
+    made = random.Random(17)
+    base = words(120, 70).split()
+    texts = {}
+    for i in range(400):  # each two words from the base, so that most pairs link but no lead links with all
+        own = list(base)
+        for at in made.sample(range(120), 2):
+            own[at] = f"x{i}y{at}"
+        texts[i] = " ".join(own)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    compared = []
+    plain = shingle_join._verified
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(shingle_join, "_verified", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.near_duplicates(rows, 4, 85).collect()}
+    assert got == brute_components(texts, 4, 85)
+    # Far fewer than the 79,800 pairs of the group.
+    assert sum(compared) <= 12 * len(texts)
+
+
+def test_search_leaves_a_forest_or_every_pair():
+    import pandas as pd
+
+    made = np.random.default_rng(2)
+    point = made.integers(0, 4, (90, shingle_join.COORDINATES))
+    point[30:60] = point[:30]
+    point[30:60, :3] += 1
+    rows = [(s, n, n % 45, 0, 0, 0, point[n].tolist()) for s, members in ((1, range(90)), (2, range(0, 90, 4)), (3, range(20, 50))) for n in members]
+    frame = pd.DataFrame(rows, columns=["signature", "node", "component", "block", "low", "high", "point"])
+    every = set(map(tuple, shingle_join._search(frame, 85, False).to_numpy().tolist()))
+    total = point.sum(axis=1)
+    want = {
+        (a, b)
+        for a, b in itertools.combinations(range(90), 2)
+        if a % 45 != b % 45 and 100 * min(total[a], total[b]) >= 85 * max(total[a], total[b]) and 185 * np.minimum(point[a], point[b]).sum() >= 85 * (total[a] + total[b])
+    }
+    assert every == want
+    forest = set(map(tuple, shingle_join._search(frame, 85, True).to_numpy().tolist()))
+    assert forest <= every and len(forest) < 45
+    groups = []
+    for pairs in (forest, every):
+        left = {i: i for i in range(45)}
+        for a, b in pairs:
+            old, new = left[a % 45], left[b % 45]
+            left = {k: new if v == old else v for k, v in left.items()}
+        groups.append(len(set(left.values())))
+    assert groups[0] == groups[1]
