@@ -136,26 +136,41 @@ def _groups(star: Star, key: str, columns: list[str], where: Slicers) -> DataFra
     return rows.unionByName(base_measures(star, columns, own).select(*columns)).distinct()
 
 
-def active_lenders_by(star: Star, by: list[str], where: Slicers | None = None) -> DataFrame:
-    """Per group of lender columns, lenders without facts included; null for the blank group.
+def active_lender_counts(star: Star, lender_columns: list[str], where: Slicers | None = None) -> DataFrame:
+    """Per group of lender columns, lenders without facts included; null for the blank group. Any number of groups."""
+    where = dict(where or {})
+    counts = (
+        _sliced_dimension(star, "lender_key", lender_columns, where)
+        .groupBy(*lender_columns)
+        .agg(F.count_distinct("lender_key").alias("active_lenders"))
+    )
+    return _with_other(_groups(star, "lender_key", lender_columns, where), counts, lender_columns, "active_lenders")
+
+
+# As many place or period groups as a report shows beside its lenders.
+MOST_GROUPS = 10_000
+
+
+def active_lenders_by(
+    star: Star, by: list[str], where: Slicers | None = None, most_groups: int = MOST_GROUPS
+) -> DataFrame:
+    """:func:`active_lender_counts`, repeated for each group of the place and period columns.
 
-    Place and period columns do not reach the lenders, so each of their groups repeats the
-    counts. They come as one array of the dimension's distinct values, as a report shows them.
+    Those columns do not reach the lenders, so each of their groups has the same counts. The groups of one
+    dimension come as one array of ``most_groups`` entries at most; more are an error, as the
+    result would be the product of two large tables: take the counts alone then.
     """
     where = dict(where or {})
     split = _split(by)
     lender_columns = split.pop("lender_key", [])
-    rows = active_lenders(star, where)
-    if lender_columns:
-        counts = (
-            _sliced_dimension(star, "lender_key", lender_columns, where)
-            .groupBy(*lender_columns)
-            .agg(F.count_distinct("lender_key").alias("active_lenders"))
-        )
-        rows = _with_other(_groups(star, "lender_key", lender_columns, where), counts, lender_columns, "active_lenders")
+    rows = active_lender_counts(star, lender_columns, where) if lender_columns else active_lenders(star, where)
     for key, columns in split.items():
-        every = _groups(star, key, columns, where).agg(F.collect_list(F.struct(*columns)).alias("every"))
-        rows = rows.withColumn("_group", F.explode(every.scalar())).select("*", "_group.*").drop("_group")
+        # One more than allowed tells that there are too many, and is all that is gathered.
+        some = _groups(star, key, columns, where).limit(most_groups + 1)
+        every = some.agg(F.collect_list(F.struct(*columns)).alias("every"))
+        refused = F.raise_error(F.lit(f"more than {most_groups} groups of {', '.join(columns)}"))
+        few = every.select(F.when(F.size("every") <= most_groups, F.col("every")).otherwise(refused).alias("every"))
+        rows = rows.withColumn("_group", F.explode(few.scalar())).select("*", "_group.*").drop("_group")
     return rows.select(*by, "active_lenders")
 
 

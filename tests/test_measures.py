@@ -87,6 +87,14 @@ def test_lenders_without_facts_are_active(spark):
     assert {tuple(r) for r in measures.active_lenders_by(star, ["state"]).collect()} == {("CA", 3), ("OH", 3)}
 
 
+def test_too_many_places_beside_lenders_are_an_error(star):
+    assert measures.active_lenders_by(star, ["state"], most_groups=2).count() == 2
+    with pytest.raises(Exception, match="more than 1 groups of state"):
+        measures.active_lenders_by(star, ["state"], most_groups=1).collect()
+    counts = measures.active_lender_counts(star, ["lender_state"])
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, measures.active_lenders_by(star, ["lender_state"]).collect()))
+
+
 def test_top_names_merge_cities_and_keep_ties(star):
     # Eight banks, the merged Twin (110), and all three names tied for the tenth place.
     expected = sum(200 - i for i in range(8)) + 110 + 300
