@@ -335,6 +335,52 @@ def test_chunk_dedup_takes_the_passage_once(docs, empty):
     assert chunk_dedup.without_repeats(empty).count() == 0
 
 
+def chunked(text):
+    """The chunks of a text as tuples of words, by the definition: one byte and one word at a time."""
+    made, now, h = [], [], 0
+    for word in text.lower().encode().split():
+        for byte in (b" " if now or made else b"") + word:
+            h = (2 * h + int(chunk_dedup._GEAR[byte])) % 2**32
+        now.append(word)
+        if h >> 9 & (1 << chunk_dedup.CUT_BITS) - 1 == 0 or len(now) == chunk_dedup.MOST_WORDS:
+            made.append(tuple(now))
+            now = []
+    return [*made, tuple(now)] if now else made
+
+
+def test_chunk_dedup_by_brute_force(spark):
+    """Passages shifted by insertions, at the ends of texts, beside copies, nulls and a name that clashes."""
+    made = random.Random(21)
+    passages = [words(made.randint(51, 120), 400 + i) for i in range(6)]
+    texts = [None, "", "one two", "Ab " * 90, passages[0] + " " + words(30, 1), words(40, 2) + "\n\n" + passages[0].upper()]
+    for i in range(60):
+        parts = [words(made.randint(0, 40), 500 + 3 * i + k) for k in range(2)]
+        parts.insert(made.randint(0, 2), made.choice(passages))
+        texts.append(" \t".join(parts))
+    texts += texts[10:14]
+    rows = [(i, t, "clash") for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in chunk_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string, _repeats string")).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    seen, taken = {}, 0
+    for i, text in enumerate(texts):
+        chunks, kept, run, gone = chunked(text or ""), [], [], 0
+        for chunk in [*chunks, None]:
+            if chunk is not None and seen.get(chunk, i) < i:
+                run += chunk
+                continue
+            if len(run) < chunk_dedup.MIN_WORDS:
+                kept += run
+            else:
+                gone += len(run)
+            kept, run = kept + list(chunk or ()), []
+        for chunk in chunks:
+            seen.setdefault(chunk, i)
+        assert got[i]._repeats.n_repeated_words == gone and (got[i].text is None) == (text is None)
+        assert (got[i].text or "").lower().encode().split() == kept
+        taken += gone > 0
+    assert taken > 50
+
+
 def test_gear_hash_is_the_rolling_one():
     data = np.frombuffer(words(50, 1).encode(), dtype=np.uint8)
     h, want = 0, []
