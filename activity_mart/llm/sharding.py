@@ -4,10 +4,16 @@ A node with n shards of its own is split in two, along the metadata dimension in
 documents spread widest, at the point that gives each side its share of the node's bytes. That
 weighted median is found exactly by histograms: each round sums bytes by the next bits of the
 sort key, within the one bin that holds the median.
+
+The tree places groups of equal texts, one row each, so that none is split. Groups that are large
+beside a shard would unbalance a cut; they are dealt to shards first, and the tree fills what is left.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +21,11 @@ from activity_mart.llm.common import drop_table, numbered, stored, table, text_o
 
 SHARDS = 40
 ROW_BYTES = 16
-# A sort key: a dimension's place, then the content, then the document, so that equal texts
-# stay together and a hot group of them can still be cut anywhere.
-PLACE_BITS, CONTENT_BITS, ROW_BITS = 20, 24, 16
+# A group of equal texts is large from this part of a shard's bytes on. Its pieces, if it has more
+# bytes than a shard, are about as large.
+LARGE = 16
+# A sort key: a dimension's place, then the content.
+PLACE_BITS, CONTENT_BITS = 20, 40
 ROUND_BITS, ROUNDS = 15, 4
 
 
@@ -40,40 +48,91 @@ def metadata(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.array(*labels, F.log2(F.octet_length(text) + F.lit(1.0))).alias("place"),
+        F.xxhash64(text).alias("group"),
+        *[value.alias(f"at{i}") for i, value in enumerate([*labels, F.log2(F.octet_length(text) + F.lit(1.0))])],
     )
 
 
-def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:
-    """``doc_id``, ``size``, ``text_crc32`` and ``shard`` of every document, stored.
+def dealt(sizes: list[tuple[int, int, int]], shards: int, leaf: float) -> tuple[list[dict], list[float]]:
+    """Shards for the pieces ``(group, piece, bytes)`` of large groups, and the bytes each shard has left.
+
+    A group of more bytes than a shard fills one emptiest shard after the other; any other goes whole to
+    the emptiest shard, largest first. There are at most ``2 * LARGE`` pieces a shard, and a few of
+    each large group.
+    """
+    whole: dict[int, list[tuple[int, int]]] = {}
+    for group, piece, size in sizes:
+        whole.setdefault(group, []).append((size, piece))
+    loads = [(0, shard) for shard in range(shards)]
+    made = []
+    for group, pieces in sorted(whole.items(), key=lambda x: (-sum(size for size, _ in x[1]), x[0])):
+        load, shard = heapq.heappop(loads)
+        several = sum(size for size, _ in pieces) > leaf
+        for size, piece in sorted(pieces, reverse=True):
+            if several and load and load + size > leaf:
+                load, shard = heapq.heappushpop(loads, (load, shard))
+            load += size
+            made.append({"group": group, "piece": piece, "shard": shard})
+        heapq.heappush(loads, (load, shard))
+    return made, [max(0.0, leaf - load) for load, _ in sorted(loads, key=lambda x: x[1])]
 
-    Shards are near equal in bytes: a cut is off by less than one document of the largest size,
-    or by the documents of one sort key, whose last bits are a hash of the id. ``target_bytes``
-    gives as many shards as that size needs. Null texts count as empty; documents with equal
-    ids and texts may fall on either side of a cut only together; an empty table has no rows.
+
+def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:
+    """``doc_id``, ``size``, ``text_crc32`` and ``shard`` of every document.
+
+    Shards are near equal in bytes. Equal texts (by a 64-bit digest) share a shard, unless they have more
+    bytes together than one; then they fill as few as they can, by a hash of the id, and rows with
+    equal ids stay together. A cut of the tree is off by less than one group, under a part in ``LARGE``
+    of a shard. ``target_bytes`` gives as many shards as that size needs. Null texts count as
+    empty; a null id is a value like any other; a text longer than a shard has one for itself; an
+    empty table has no rows. Other columns of ``docs`` play no part, but for ``lang`` and ``source``.
     """
     meta = stored(metadata(docs), "shard-metadata")
-    low = [F.min(F.col("place")[i]) for i in range(3)]
-    high = [F.max(F.col("place")[i]) for i in range(3)]
-    ends = meta.agg(F.sum("size"), *low, *high).first()
+    spark = docs.sparkSession
+    # A hot text is one row a task before the shuffle. A group's place is the lowest of its rows'.
+    groups = stored(meta.groupBy("group").agg(F.sum("size").alias("size"), *[F.min(f"at{i}").alias(f"at{i}") for i in range(3)]), "shard-groups")
+    ends = groups.agg(F.sum("size"), *[F.min(f"at{i}") for i in range(3)], *[F.max(f"at{i}") for i in range(3)]).first()
+    total = ends[0] or 0
     if target_bytes is not None:
-        shards = max(1, -(-(ends[0] or 0) // target_bytes))
+        shards = max(1, -(-total // target_bytes))
+    leaf = max(1.0, total / shards)
+
+    # At most LARGE groups a shard.
+    is_large = F.col("size") * LARGE > leaf
+    pieces = F.when(F.col("size") > leaf, F.ceil(F.col("size") * LARGE / leaf)).otherwise(1)
+    large = F.broadcast(groups.filter(is_large).select("group", pieces.alias("pieces")))
+    hot = meta.join(large, "group").withColumn("piece", F.pmod(F.xxhash64("doc_id"), "pieces"))
+    sizes = hot.groupBy("group", "piece").agg(F.sum("size").alias("size")).collect()
+    made, room = dealt([(r.group, r.piece, r["size"]) for r in sizes], shards, leaf)
+    where = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(made)), "array<struct<group:long,piece:long,shard:int>>")))
+    columns = ["doc_id", "size", "text_crc32", "shard"]
+    hot = hot.join(F.broadcast(where), ["group", "piece"]).select(*columns)
 
     scale = (1 << PLACE_BITS) - 1
-    tie = F.shiftleft(_bits(F.xxhash64("text_crc32", "size"), CONTENT_BITS), ROW_BITS).bitwiseOR(_bits(F.xxhash64("doc_id"), ROW_BITS))
+    tie = _bits(F.xxhash64("group"), CONTENT_BITS)
     keys = []
     for i in range(3):
         lowest, highest = ends[1 + i] or 0.0, ends[4 + i] or 0.0
         width = highest - lowest
-        place = ((F.col("place")[i] - lowest) * (scale / width)).cast("long") if width else F.lit(0).cast("long")
-        keys.append(F.shiftleft(place, CONTENT_BITS + ROW_BITS).bitwiseOR(tie))
+        place = ((F.col(f"at{i}") - lowest) * (scale / width)).cast("long") if width else F.lit(0).cast("long")
+        keys.append(F.shiftleft(place, CONTENT_BITS).bitwiseOR(tie))
+    tree = stored(groups.filter(~is_large).select("group", "size", F.array(*keys).alias("keys"), F.lit(0).alias("shard")), "shard-level")
+    tree = _grown(tree, room)
+    # A group that is not large has few rows beside a shard, so that no key of this join is hot.
+    return meta.join(tree.select("group", "shard"), "group").select(*columns).unionByName(hot)
+
+
+def _grown(tree: DataFrame, room: list[float]) -> DataFrame:
+    """``tree``, all in shard 0, with its rows in the leaves, which take bytes in proportion to their room."""
     # A node is named by its first shard; how many it has is known to the driver.
-    rows = stored(meta.select("doc_id", "size", "text_crc32", F.array(*keys).alias("keys"), F.lit(0).alias("shard")), "shard-level")
-    drop_table(meta)
-    nodes, tree = {0: shards}, rows
+    nodes = {0: len(room)}
     while open_nodes := {first: n for first, n in nodes.items() if n > 1}:
-        split = _medians(tree, open_nodes)
-        place = lambda values, key="shard": F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col(key)]
+        shares = {}
+        for first, n in open_nodes.items():
+            left, both = sum(room[first : first + n // 2]), sum(room[first : first + n])
+            shares[first] = left / both if both else (n // 2) / n
+        split = _medians(tree, shares)
+        place = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("shard")]
         if split:
             axis = {first: dimension for first, (dimension, _) in split.items()}
             cut = {first: key for first, (_, key) in split.items()}
@@ -84,22 +143,24 @@ def kd_shards(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int |
             tree = stored(before.withColumn("shard", F.when(right_side, F.col("shard") + place(left)).otherwise(F.col("shard"))), "shard-level")
             drop_table(before)
         nodes = {k: v for first, n in nodes.items() for k, v in (((first, n // 2), (first + n // 2, n - n // 2)) if n > 1 else ((first, n),))}
-    return tree.drop("keys")
+    return tree
 
 
-def _medians(tree: DataFrame, nodes: dict[int, int]) -> dict[int, tuple[int, int]]:
+def _medians(tree: DataFrame, shares: dict[int, float]) -> dict[int, tuple[int, int]]:
     """For each node the widest dimension and the sort key at which its right side begins.
 
+    ``shares`` has the part of the node's bytes that belongs to its left side.
+
     Only sums come to the driver: a row for each node and round, and there are at most as many
     nodes as shards.
     """
-    there = tree.filter(F.col("shard").isin([*nodes]))
-    place = lambda i: F.shiftright(F.col("keys")[i], CONTENT_BITS + ROW_BITS)
+    there = tree.filter(F.col("shard").isin([*shares]))
+    place = lambda i: F.shiftright(F.col("keys")[i], CONTENT_BITS)
     spread = [(F.max(place(i)) - F.min(place(i))).alias(f"d{i}") for i in range(3)]
     widths = there.groupBy("shard").agg(F.sum("size").alias("size"), *spread).collect()
     axis = {r.shard: max(range(3), key=lambda i, r=r: (r[f"d{i}"], -i)) for r in widths}
     # Bytes still to pass before the cut, and the bits of the cut key found so far.
-    wanted = {r.shard: r.size * (nodes[r.shard] // 2) / nodes[r.shard] for r in widths}
+    wanted = {r.shard: r["size"] * shares[r.shard] for r in widths}
     found = dict.fromkeys(wanted, 0)
     if not wanted:
         return {}

@@ -212,6 +212,30 @@ def test_shards_are_near_equal(spark, docs, empty, sf_dir):
     assert len({r.shard for r in sharding.kd_shards(docs, None, target_bytes=30_000).collect()}) > 1
 
 
+def test_shards_keep_equal_texts_together(spark):
+    """One text with a third of the bytes, groups of many sizes, one long text, repeated rows, a null id, clashing names."""
+    made = random.Random(17)
+    rows = [(i, words(200, 1), "en", "hot", 1, 1) for i in range(700)]
+    for g in range(60):
+        rows += [(1000 * (g + 1) + i, words(made.randint(5, 300), 700 + g), made.choice(["en", "de"]), f"s{g % 7}", 1, 1) for i in range(made.randint(1, 30))]
+    rows += [(90_000 + i, words(made.randint(1, 200), 900 + i), None, f"s{i % 5}", 1, 1) for i in range(900)]
+    rows += [(99_000, words(3000, 5), "en", None, 1, 1), (None, None, None, None, 1, 1), (99_001, "", "en", "s1", 1, 1), rows[0], rows[0]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard int, size int")
+    got = sharding.kd_shards(frame, 12).collect()
+    assert sorted((r.doc_id or -1, r["size"]) for r in got) == sorted((r[0] or -1, len((r[1] or "").encode()) + 16) for r in rows)
+    loads, spread, bytes_of = {s: 0 for s in range(12)}, {}, {}
+    for r in got:
+        key = (r.text_crc32, r["size"])
+        loads[r.shard] += r["size"]
+        spread.setdefault(key, set()).add(r.shard)
+        bytes_of[key] = bytes_of.get(key, 0) + r["size"]
+    leaf = sum(loads.values()) / 12
+    for key, shards in spread.items():
+        assert len(shards) <= max(1, math.ceil(1.15 * bytes_of[key] / leaf))
+    assert max(loads.values()) < 1.1 * leaf and min(loads.values()) > 0.9 * leaf
+    assert len({r.shard for r in got if r.doc_id == 0}) == 1
+
+
 def test_rules_judge_form(docs, empty, spark):
     junk = [(100 + i, " ".join(w + "***" for w in words(80, i).split()), "en", "s", 0, "c", 0) for i in range(8)]
     good = [(200 + i, words(80, 50 + i) + ".", "en", "s", 0, "c", 0) for i in range(60)]
