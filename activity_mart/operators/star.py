@@ -18,6 +18,7 @@ from activity_mart.contracts import (
     UNKNOWN_REGION,
 )
 from activity_mart.operators.keys import dense_key, require_unique
+from activity_mart.operators.spread import PLACE, lookup_join, numbered
 from activity_mart.plans.staging import stage_county, stage_lender
 from activity_mart.sources.store import side_by_side, stored
 
@@ -99,11 +100,10 @@ def _fact_joins(counties: DataFrame, lenders: DataFrame, geographies: DataFrame,
         F.col("state").alias("project_state"),
         F.col("county").alias("project_county"),
     )
-    return (
-        stage_county(counties)
-        .join(lenders, ["lender_name", "lender_city", "lender_state"], how)
-        .join(places, ["project_state", "project_county"], how)
-    )
+    staged = stage_county(counties)
+    named = lookup_join(numbered(staged), lenders, ["lender_name", "lender_city", "lender_state"], how, staged)
+    # Shares of places come from the extract too: the second lookup does not run the first one twice.
+    return lookup_join(named, places, ["project_state", "project_county"], how, staged).drop(PLACE)
 
 
 def fact_left(
@@ -130,6 +130,16 @@ def fact_inner(
     return keyed.where(F.col("date_key").isNotNull()).to(FACT)
 
 
+def by_period(fact: DataFrame) -> DataFrame:
+    """The fact's rows gathered by period before a write partitioned by it.
+
+    Each period then has as many files as its size asks for, and not one from each task: a hot period is
+    split at the advisory partition size (with small periods that hash beside it) and small ones share a task.
+    With one period every task writes one file anyway, and the shuffle would be for nothing.
+    """
+    return fact.hint("rebalance", "date_key")
+
+
 def build_star(
     lenders: DataFrame,
     counties: DataFrame,
@@ -151,5 +161,7 @@ def build_star(
         },
     )
     fact = fact_left(counties, dims["dim_lender"], dims["dim_geography"], validate=False)
+    if dims["dim_date"].limit(2).count() > 1:
+        fact = by_period(fact)
     fact_table = save(fact, "fact_lending_activity", partition_by=["date_key"])
     return Star(fact_table, **dims)

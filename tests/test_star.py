@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import DIM_DATE, DIM_GEOGRAPHY, DIM_LENDER, FACT, STATE_REGIONS
+from activity_mart.operators import measures
 from activity_mart.operators import star as star_schema
 from activity_mart.operators.keys import DuplicateKeyError, dense_key, require_unique
 from activity_mart.plans.staging import stage_county, stage_district
 from activity_mart.sources.readers import state_regions
+from activity_mart.sources.store import stored
 
 
 @pytest.fixture(scope="module")
@@ -95,6 +97,43 @@ def test_several_periods_join_on_their_own_date(spark, star):
     assert {r.date_key for r in inner.collect()} == {20240930, 20250331}
 
 
+def test_periods_have_few_files_and_are_pruned(spark):
+    # Forty tasks, three periods, one of them with most rows.
+    rows = frames.counties(spark).crossJoin(spark.range(2000).repartition(40)).withColumn(
+        "reporting_period", F.expr("CASE WHEN id % 10 = 1 THEN DATE'2023-09-30' WHEN id % 10 = 2 THEN DATE'2022-09-30' ELSE DATE'2024-09-30' END")
+    ).drop("id")
+    built = star_schema.build_star(frames.lenders(spark), rows, state_regions(spark))
+    per_period = built.fact.withColumn("file", F.input_file_name()).groupBy("date_key").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files"))
+    assert {r.date_key: (r.n, r.files) for r in per_period.collect()} == {
+        20240930: (6400, 1), 20230930: (800, 1), 20220930: (800, 1)
+    }
+    sliced = measures.base_measures(built, ["state"], {"year": [2023]})
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "dynamicpruning" in plan
+    assert sum(r.total_loan_count for r in sliced.collect()) == 200 * sum(r[5] for r in frames.COUNTIES)
+
+
+def test_a_hot_period_is_split_by_size(spark):
+    names = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        # A small period that does not share its shuffle partition with the hot one.
+        place = "pmod(hash(CAST(id AS INT)), 8)"
+        apart = f"{place} <> (SELECT pmod(hash(20240930), 8))"
+        small = spark.range(20230101, 20230130).where(apart).first().id
+        rows = spark.range(0, 200_000, numPartitions=20).select(
+            F.xxhash64("id").alias("lender_key"), F.when(F.col("id") % 50 == 0, small).otherwise(20240930).cast("int").alias("date_key")
+        )
+        files = stored(star_schema.by_period(rows), "periods", ["date_key"])
+        per_period = {r.date_key: r.files for r in files.withColumn("file", F.input_file_name()).groupBy("date_key").agg(F.count_distinct("file").alias("files")).collect()}
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert per_period[20240930] > 4 and per_period[small] == 1
+    assert files.count() == 200_000
+
+
 def test_dense_key_over_many_partitions(spark):
     members = spark.range(5000).select(F.format_string("m%05d", (F.col("id") * 7919) % 5000).alias("name"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
