@@ -22,6 +22,7 @@ from activity_mart.contracts import (
     PERCENT,
 )
 from activity_mart.functions.numeric import plain_ratio, rounded_percent, rounded_ratio
+from activity_mart.operators.distincts import totals_with_distincts
 
 
 def _sums() -> list[Column]:
@@ -240,19 +241,19 @@ def state_metrics(staged_counties: DataFrame) -> DataFrame:
 
 def executive_kpis(fact: DataFrame) -> DataFrame:
     """One row over the fact: totals, ratios and the distinct keys in use."""
-    totals = fact.agg(
+    sums = [
         F.sum("approved_loan_count").alias("total_loan_count"),
         F.sum("approved_dollars").cast(MONEY_TOTAL).alias("total_approved_dollars"),
         F.sum("guaranty_dollars").cast(MONEY_TOTAL).alias("total_guaranty_dollars"),
-    )
+    ]
+    found = totals_with_distincts(fact, sums, {"lender_key": "active_lenders", "geography_key": "active_geographies"})
     dollars = F.col("total_approved_dollars")
-    # One narrow scan per key instead of expanding every row for two distincts.
-    return totals.select(
-        "*",
+    return found.select(
+        *[c for c in found.columns if c.startswith("total_")],
         plain_ratio(dollars, F.col("total_loan_count")).alias("average_loan_size"),
         plain_ratio(F.col("total_guaranty_dollars"), dollars).alias("guaranty_rate"),
-        fact.agg(F.count_distinct("lender_key")).scalar().alias("active_lenders"),
-        fact.agg(F.count_distinct("geography_key")).scalar().alias("active_geographies"),
+        "active_lenders",
+        "active_geographies",
     )
 
 

@@ -14,7 +14,7 @@ from activity_mart.operators.measures import (
     active_lenders,
     base_measures,
     failed_checks,
-    lender_share,
+    page_totals,
     ratio_measures,
     rejected_count,
     top_lender_share,
@@ -24,13 +24,15 @@ from activity_mart.operators.star import Star
 
 def overview_page(star: Star, where: Slicers | None = None) -> dict[str, DataFrame]:
     """Cards, the ten largest lender names and dollars by state."""
-    cards = ratio_measures(base_measures(star, [], where)).select(
+    totals = page_totals(star, [[], ["lender_name"], ["state"]], where)
+    share = top_lender_share(star, [], where, totals=totals)
+    cards = ratio_measures(totals.base([])).select(
         "*",
         active_lenders(star, where).scalar().alias("active_lenders"),
-        top_lender_share(star, [], where).select("top_lender_share").scalar().alias("top_10_lender_share"),
+        share.select("top_lender_share").scalar().alias("top_10_lender_share"),
     )
-    names = base_measures(star, ["lender_name"], where).select("lender_name", DOLLARS)
-    states = base_measures(star, ["state"], where).select("state", DOLLARS)
+    names = totals.base(["lender_name"]).select("lender_name", DOLLARS)
+    states = totals.base(["state"]).select("state", DOLLARS)
     return {
         "cards": cards,
         "top_lenders": names.orderBy(F.desc(DOLLARS), "lender_name").limit(10),
@@ -43,8 +45,9 @@ def lender_page(star: Star, where: Slicers | None = None) -> DataFrame:
 
     One row per lender also gives the points of the size-against-dollars scatter.
     """
-    rows = ratio_measures(base_measures(star, ["lender_name"], where))
-    everyone = lender_share(star, [], where).select("all_lender_dollars").scalar()
+    totals = page_totals(star, [[], ["lender_name"]], where)
+    rows = ratio_measures(totals.base(["lender_name"]))
+    everyone = totals.all_lenders([]).scalar()
     return rows.withColumn("lender_share", plain_ratio(F.col(DOLLARS), everyone)).drop(GUARANTY)
 
 
@@ -53,7 +56,10 @@ def region_rollup(star: Star, where: Slicers | None = None) -> DataFrame:
 
     ``level`` is 0 for a state, 1 for a region total, 3 for the grand total.
     """
-    states = base_measures(star, ["region", "state"], where)
+    return _rolled(base_measures(star, ["region", "state"], where))
+
+
+def _rolled(states: DataFrame) -> DataFrame:
     return states.rollup("region", "state").agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum(DOLLARS).cast("decimal(28,2)").alias(DOLLARS),
@@ -63,10 +69,11 @@ def region_rollup(star: Star, where: Slicers | None = None) -> DataFrame:
 
 def geography_page(star: Star, where: Slicers | None = None) -> dict[str, DataFrame]:
     """By state, rolled up by region, and by county with average loan size."""
-    counties = ratio_measures(base_measures(star, ["state", "county"], where))
+    totals = page_totals(star, [["region", "state"], ["state"], ["state", "county"]], where)
+    counties = ratio_measures(totals.base(["state", "county"]))
     return {
-        "states": base_measures(star, ["state"], where).select("state", DOLLARS, LOANS),
-        "regions": region_rollup(star, where),
+        "states": totals.base(["state"]).select("state", DOLLARS, LOANS),
+        "regions": _rolled(totals.base(["region", "state"])),
         "counties": counties.select("state", "county", DOLLARS, LOANS, "average_loan_size"),
     }
 

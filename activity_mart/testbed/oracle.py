@@ -855,6 +855,10 @@ QUERIES = {
         FROM ({_TOP_BY_REGION}) t
         JOIN (SELECT region, {total("approved_dollars")} AS all_lender_dollars FROM flat GROUP BY region) e
           ON t.region = e.region""",
+    "lender_reach": """
+        SELECT region, state, county, CAST(grouping(region, state, county) AS INTEGER) AS level,
+               count(DISTINCT lender_key) AS lenders_with_loans
+        FROM ffact LEFT JOIN dim_g USING (geography_key) GROUP BY ROLLUP (region, state, county)""",
     "m_failed_checks": f"SELECT count(*) AS failed_checks FROM ({_report()}) WHERE status <> 'pass'",
     "m_rejected": f"SELECT count(*) AS rejected_records FROM ({_quarantine()})",
     "measure_slice": f"""

@@ -532,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "m_active_lenders_by_name": _on_flawed_star(lambda star: measures.active_lenders_by(star, ["lender_name"])),
     "m_top10_dollars": _on_star(lambda star: measures.top_lender_dollars(star, ["region"])),
     "m_top10_share": _on_star(lambda star: measures.top_lender_share(star, ["region"])),
+    "lender_reach": _on_flawed_star(measures.lender_reach),
     "m_failed_checks": lambda s, d: measures.failed_checks(quality_report(s, d)),
     "m_rejected": lambda s, d: measures.rejected_count(quarantine_union(s, d)),
     "measure_slice": _on_star(

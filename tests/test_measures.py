@@ -4,10 +4,12 @@ import math
 
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from activity_mart.operators import measures
+from activity_mart.operators.distincts import key_maps, rolled_up, totals_with_distincts
 from activity_mart.operators.star import build_star
-from activity_mart.plans import pages
+from activity_mart.plans import analytics, pages
 from activity_mart.sources.readers import state_regions
 
 # Twelve lenders; "Twin" is one name in two cities, and three names tie at the cut of ten.
@@ -139,3 +141,85 @@ def test_unmatched_facts_form_a_blank_group(spark):
     assert float(found[(None,)].total_approved_dollars) == 100
     shares = rows(measures.lender_share(star, ["lender_state"]), "lender_state")
     assert math.isclose(sum(r.lender_share for r in shares.values()), 1.0)
+
+
+@pytest.fixture(scope="module")
+def blanks(spark):
+    """A star whose fact has rows without a lender, and a second name in another state."""
+    stray = [*frames.COUNTIES, ("Stray", "Reno", "NV", "WA", "KING", 1, "100.00", "0.00"), ("Stray", "Reno", "NV", "ME", "YORK", 1, "7.00", "0.00")]
+    return build_star(frames.lenders(spark), frames.counties(spark, stray), state_regions(spark))
+
+
+SLICES = [
+    {},
+    {"state": ["WA"]},
+    {"lender_name": ["Cedar Trust", "Ridge Mutual"]},
+    {"lender_state": ["OR", "ID"], "lender_name": ["Cedar Trust"], "region": ["West"]},
+    {"lender_state": ["ME"], "year": [2024]},
+    {"region": ["Nowhere"]},
+    {"lender_name": ["Nobody"]},
+]
+
+
+def plain(frame):
+    return sorted(map(repr, frame.select(*sorted(frame.columns)).collect()))
+
+
+@pytest.mark.parametrize("where", SLICES, ids=str)
+def test_page_totals_equal_each_measure_by_itself(blanks, where):
+    sets = [[], ["lender_name"], ["state"], ["state", "lender_name"]]
+    totals = measures.page_totals(blanks, sets, where)
+    for by in sets:
+        assert plain(totals.base(by)) == plain(measures.base_measures(blanks, by, where)), by
+        everyone = measures.base_measures(blanks, by, {k: v for k, v in where.items() if not k.startswith("lender")})
+        assert plain(totals.all_lenders(by)) == plain(everyone.select(*by, F.col(measures.DOLLARS).alias("all_lender_dollars")))
+        named = measures.base_measures(blanks, by, {k: v for k, v in where.items() if k != "lender_name"}).select(*by, measures.DOLLARS)
+        assert not by or plain(totals.any_name(by)) == plain(named)
+
+
+def test_a_page_reads_the_fact_once(spark, blanks):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        fact = "fact_lending_activity-"
+        made = []
+
+        def keep(df, label):
+            made.append(df._jdf.queryExecution().executedPlan().toString().count(fact))
+            return measures.stored(df, label)
+
+        totals = measures.page_totals(blanks, [[], ["lender_name"], ["state"]], {"lender_state": ["OR"]}, keep)
+        assert made == [1] and fact not in totals.rows._jdf.queryExecution().executedPlan().toString()
+        page = {**pages.overview_page(blanks), **pages.geography_page(blanks), "lenders": pages.lender_page(blanks)}
+        page["share"] = measures.top_lender_share(blanks, ["region"])
+        for name, frame in page.items():
+            assert fact not in frame._jdf.queryExecution().executedPlan().toString(), name
+        kpis = analytics.executive_kpis(blanks.fact)
+        assert kpis._jdf.queryExecution().executedPlan().toString().count(fact) == 1
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_executive_kpis_count_keys_in_use(blanks):
+    found = analytics.executive_kpis(blanks.fact).first()
+    expected = blanks.fact.agg(F.count_distinct("lender_key"), F.count_distinct("geography_key"), F.sum("approved_dollars")).first()
+    assert (found.active_lenders, found.active_geographies, found.total_approved_dollars) == tuple(expected)
+    nothing = analytics.executive_kpis(blanks.fact.where("false")).first()
+    assert (nothing.active_lenders, nothing.active_geographies, nothing.total_approved_dollars) == (0, 0, None)
+
+
+def test_bitmaps_roll_up_over_many_buckets(spark):
+    # 90,000 keys are three bitmaps; every key lies in several groups, and some rows have none.
+    rows = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 11 > 0 THEN id * 7919 % 90000 + 1 END AS k", "id % 2 AS a", "CASE WHEN id % 5 > 0 THEN id % 5 END AS b"
+    )
+    found = rolled_up(key_maps(rows, ["a", "b"], "k"), ["a", "b"], "n")
+    expected = rows.rollup("a", "b").agg(F.grouping_id().cast("int").alias("level"), F.count_distinct("k").alias("n"))
+    assert plain(found) == plain(expected)
+    both = totals_with_distincts(rows, [F.sum("a").alias("total")], {"k": "ks", "b": "bs"}).first()
+    assert tuple(both) == tuple(rows.agg(F.sum("a"), F.count_distinct("k"), F.count_distinct("b")).first())
+
+
+def test_lender_reach_counts_a_lender_once_a_level(blanks):
+    found = {(r.level, r.region, r.state, r.county): r.lenders_with_loans for r in measures.lender_reach(blanks).collect()}
+    assert found[(7, None, None, None)] == 3 and found[(3, "West", None, None)] == 2
+    assert found[(1, "West", "WA", None)] == 2 and found[(0, "West", "ID", "ADA")] == 1
