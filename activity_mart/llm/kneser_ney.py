@@ -1,33 +1,31 @@
 """Operator 4: a quality classifier by an interpolated modified Kneser-Ney model.
 
 The model is over the bytes of the text's UTF-8, so every character of every script is told from
-all others, trained on trusted documents. Counts, and the joins of counts that give its
+all others, trained on all trusted documents. Counts, and the joins of counts that give its
 probabilities, are DataFrames sharded by n-gram and context. A document is rejected if its
 perplexity by character is above a quantile of its language's trusted documents. Two models are
-trained, each on one half of the sample, and no document is judged by a model that it trained.
+trained, each on one half of the trusted documents, and no document is judged by a model that it trained.
 
-The n-grams seen in training are no more than the sample's bytes, whatever the corpus, so the finished
-tables go to every task. Joining each document's own n-grams with the counts instead would write
-several times the input to disk.
+The bits of every n-gram of the corpus are worked out in shards; a table of few n-grams then goes to every
+task, a larger one is joined with the distinct n-grams of each chunk of documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from activity_mart.llm.common import ship, stored, table, text_chunks, text_of
+from activity_mart.llm.common import ship, stored, table, text_of
+from activity_mart.llm.grams import SENT_GRAMS, counts, sums
 
 ORDER = 6  # bytes; an n-gram is a number of ORDER digits to the base CLASSES
 CLASSES = 256
-# About the most trusted documents that the models are trained on, over all languages together.
-TRUSTED_DOCS = 20_000
+# Groups that the two bytes before an n-gram's last are dealt into.
+SHARDS = 1024
 QUANTILE = 0.995
 # Bits a character that a document may exceed its language's quantile by.
 MARGIN = 0.1
@@ -52,24 +50,19 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, starts, lengths
 
 
-def _own(grams: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Marks the places that belong to a text, not to the padding before the next one."""
-    ends = np.zeros(len(grams) + 1, dtype=np.int32)
-    np.add.at(ends, starts, 1)
-    np.add.at(ends, starts + lengths, -1)
-    return np.cumsum(ends)[:-1] > 0
+def _cut(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end inside the texts, null ones being empty, and how many each text has."""
+    grams, starts, lengths = _grams([t or "" for t in texts])
+    # Each text but the first follows its padding.
+    inside = np.ones(len(grams), dtype=bool)
+    for k in range(1, ORDER):
+        inside[starts[1:] - k] = False
+    return grams[inside], lengths
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """``gram`` and ``n`` over all texts; each task sends its sums, not its n-grams."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text"):
-            grams, starts, lengths = _grams(batch["text"].to_pylist())
-            seen, n = np.unique(grams[_own(grams, starts, lengths)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], ["gram", "n"])
-
-    return docs.select(text_of().alias("text")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return counts(docs.select(text_of().alias("text"), F.lit(0).alias("class")), _cut, 1).withColumnRenamed("n0", "n")
 
 
 def probabilities(counts: DataFrame) -> list[DataFrame]:
@@ -114,19 +107,21 @@ class Costs:
 
 
 def seen_costs(orders: list[DataFrame]) -> list[Costs]:
-    """The orders' tables, which the driver holds once: 16 bytes an n-gram of the training sample."""
-    made = []
-    for seen in orders:
-        rows = seen.select("gram", F.col("p").cast("float"), F.col("rest").cast("float")).toArrow()
-        grams = rows["gram"].to_numpy()
-        order = np.argsort(grams)
-        grams = grams[order]
-        contexts, first = np.unique(grams // CLASSES, return_index=True)
-        made.append(Costs(grams, -np.log2(rows["p"].to_numpy()[order]), contexts, -np.log2(rows["rest"].to_numpy()[order][first])))
-    return made
+    """The orders' tables, read to the driver: for the lowest orders, or a small model."""
+    read = [seen.select("gram", F.col("p").cast("float"), F.col("rest").cast("float")).toArrow() for seen in orders]
+    return [_costs(*[rows[name].to_numpy() for name in ("gram", "p", "rest")]) for rows in read]
+
+
+def _costs(grams: np.ndarray, p: np.ndarray, rest: np.ndarray) -> Costs:
+    order = np.argsort(grams)
+    grams = grams[order]
+    contexts, first = np.unique(grams // CLASSES, return_index=True)
+    return Costs(grams, -np.log2(p[order]), contexts, -np.log2(rest[order][first]))
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return at, keys[at] == wanted
 
@@ -152,13 +147,40 @@ def cost_table(orders: list[DataFrame]) -> np.ndarray:
     return gram_bits((tables[-1].contexts[:, None] * CLASSES + np.arange(CLASSES)).ravel(), tables)
 
 
+def gram_costs(wanted: DataFrame, models: list[list[DataFrame]]) -> DataFrame:
+    """``gram`` of ``wanted``, and ``b0``, ``b1``, ...: its bits by each of the models, seen in training or not.
+
+    A shard holds the n-grams of all orders whose last byte follows some two bytes, and with them every
+    n-gram and context that one of its own falls back to, but for the two lowest orders, which go to every task.
+    """
+    names = [f"b{i}" for i in range(len(models))]
+    lowest = wanted.sparkSession.sparkContext.broadcast([seen_costs(orders[:2]) for orders in models])
+    none = F.lit(None).cast("float")
+    rows = wanted.select("gram", none.alias("p"), none.alias("rest"), F.lit(-1).alias("table"))
+    for i, orders in enumerate(models):
+        for k, seen in enumerate(orders[2:], 2):
+            rows = rows.unionByName(seen.select("gram", F.col("p").cast("float"), F.col("rest").cast("float"), F.lit(i * ORDER + k).alias("table")))
+
+    def score(found: pa.Table) -> pa.Table:
+        which, grams, p, rest = (found[name].to_numpy() for name in ("table", "gram", "p", "rest"))
+        own = grams[which < 0]
+        bits = []
+        for i, low in enumerate(lowest.value):
+            parts = [which == i * ORDER + k for k in range(2, ORDER)]
+            bits.append(gram_bits(own, low + [_costs(grams[part], p[part], rest[part]) for part in parts]).astype(np.float32))
+        return pa.table([own, *bits], ["gram", *names])
+
+    sharded = rows.groupBy(F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(0xFFFF)), F.lit(SHARDS)).alias("shard"))
+    return sharded.applyInArrow(score, ", ".join(["gram long", *[f"{name} float" for name in names]]))
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """``doc_id`` of every document that every label calls good and none toxic."""
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     return good.filter("doc_id IS NOT NULL AND q = 1 AND t = 0").select("doc_id")
 
 
-def training_sample(trusted: DataFrame, most: int = TRUSTED_DOCS) -> DataFrame:
+def training_sample(trusted: DataFrame, most: int) -> DataFrame:
     """``doc_id`` of about ``most`` of the ``trusted`` (``doc_id, lang``) at most, by hash.
 
     Every language has the same bound, the largest halving of ``most`` that keeps the sum within
@@ -173,60 +195,44 @@ def training_sample(trusted: DataFrame, most: int = TRUSTED_DOCS) -> DataFrame:
 
 
 def fold() -> Column:
-    """The half of the sample, 0 or 1, that a trusted document is in."""
+    """The half of the trusted documents, 0 or 1, that a document is in."""
     return F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
 
 
-def with_bits(docs: DataFrame, models: list[list[Costs]], text_col: str = "text") -> DataFrame:
-    """``docs`` (with ``_fold``) with ``_bits`` for the text and its end, and ``_characters`` of both.
-
-    The bits are the mean of the models', or, for a text that trained one of them, the other's.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-    columns = docs.columns
-    at = columns.index(text_col)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, text_col):
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            grams, starts, lengths = _grams(texts)
-            seen, place = np.unique(grams, return_inverse=True)
-            made = []
-            for tables in sent.value:
-                upto = np.concatenate([[0.0], np.cumsum(gram_bits(seen, tables)[place])])
-                made.append(upto[starts + lengths] - upto[starts])
-            trained = np.array([-1 if f is None else f for f in batch["_fold"].to_pylist()])
-            bits = np.where(trained == 0, made[-1], np.where(trained == 1, made[0], (made[0] + made[-1]) / 2))
-            characters = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits), pa.array(characters)], [*columns, "_bits", "_characters"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("_bits", T.DoubleType()), T.StructField("_characters", T.LongType())])
-    return docs.mapInArrow(score, schema)
-
-
-def classified(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, most: int = TRUSTED_DOCS) -> DataFrame:
+def classified(
+    docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, most: int | None = None, sent: int = SENT_GRAMS, drop_text: bool = False
+) -> DataFrame:
     """``docs`` (with ``doc_id``, ``lang``, ``text``), stored, with ``perplexity``, ``threshold`` and ``kept``.
 
     Null and empty texts have only the language's mean and are kept; a null language is a
     language of its own; one without trusted documents has the threshold of all of them
     together. Without any trusted document there is no model: every document is kept, with
-    null perplexity and threshold. The models are trained on ``training_sample`` of about ``most``
-    documents; means and quantiles are over all trusted ones. Rows are judged one by one: repeated ones agree, and
-    an empty table stays empty. Columns of ``docs`` that begin with an underscore are not allowed.
+    null perplexity and threshold. The models are trained on all trusted documents, or with ``most`` on
+    ``training_sample`` of them; means and quantiles are over all. Rows are judged one by one: repeated ones agree, and
+    an empty table stays empty. Columns of ``docs`` that begin with an underscore are not allowed. Tables of more
+    n-grams than ``sent`` are joined; with ``drop_text`` the text is not stored and not returned.
     """
     good = stored(trusted_ids(labels), "trusted-ids")
-    trusted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct().join(good, "doc_id", "left_semi")
-    sample = stored(training_sample(trusted, most).withColumn("_fold", fold()), "training-sample")
-    # About ``most`` ids.
-    chosen = F.broadcast(sample)
-    halves = [stored(gram_counts(docs.join(F.broadcast(sample.filter(F.col("_fold") == half)), "doc_id", "left_semi")), "gram-counts") for half in (0, 1)]
+    chosen = good
+    if most is not None:
+        trusted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct().join(good, "doc_id", "left_semi")
+        chosen = stored(training_sample(trusted, most), "training-sample")
+    # Spark sends the ids to every task where they are few.
+    judged = docs.join(chosen.withColumn("_fold", fold()), "doc_id", "left").select(*[docs[c] for c in docs.columns], "_fold")
+    found = stored(counts(judged.select(text_of().alias("text"), F.col("_fold").alias("class")), _cut, 2), "gram-counts")
+    halves = [found.filter(F.col(n) > 0).select("gram", F.col(n).alias("n")) for n in ("n0", "n1")]
     # With a single half there is one model, which then judges its own documents too.
-    models = [seen_costs(probabilities(counts)) for counts in halves if not counts.isEmpty()]
+    models = [probabilities(half) for half in halves if not half.isEmpty()]
+    kept = [c for c in docs.columns if not (drop_text and c == "text")]
     if not models:
         nothing = F.lit(None).cast("double")
-        return docs.withColumns({"perplexity": nothing, "threshold": nothing, "kept": F.lit(True)})
-    judged = docs.join(chosen, "doc_id", "left").select(*[docs[c] for c in docs.columns], "_fold")
-    scored = stored(with_bits(judged, models), "scored-documents")
+        return docs.select(*kept).withColumns({"perplexity": nothing, "threshold": nothing, "kept": F.lit(True)})
+    costs = stored(gram_costs(found, models), "gram-costs")
+    first, last = F.col("b0"), F.col(f"b{len(models) - 1}")
+    bits = F.when(F.col("_fold") == 0, last).when(F.col("_fold") == 1, first).otherwise((first + last) / 2)
+    judged = judged.withColumn("_characters", F.char_length(text_of()).cast("long") + 1)
+    scored = sums(judged, _cut, costs, [f"b{i}" for i in range(len(models))], sent, drop_text)
+    scored = stored(scored.select(*kept, bits.alias("_bits"), "_characters"), "scored-documents")
 
     trusted = scored.select("doc_id", "lang", "_bits", "_characters").join(good, "doc_id", "left_semi")
     ends = trusted.groupBy("lang").agg(F.sum("_bits").alias("bits"), F.sum("_characters").alias("n"))
@@ -239,13 +245,13 @@ def classified(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, m
     bound = F.percentile_approx("rate", F.lit(quantile), F.lit(10_000)).alias("_bound")
     limits = means.alias("d").join(rates.groupBy("lang").agg(bound).alias("r"), same("r"))
     limits = limits.select("d.lang", "_mean", (F.col("_bound") + F.col("_margin")).alias("_limit"))
-    most = rates.agg(bound).first()[0] + MARGIN
+    highest = rates.agg(bound).first()[0] + MARGIN
     limits = stored(limits, "language-limits")
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
+    own = [F.col(f"d.`{c}`") for c in kept]
     return (
         scored.alias("d")
         .join(limits.alias("t"), same("t"), "left")
-        .select(*own, F.pow(2.0, rate).alias("perplexity"), F.pow(2.0, F.coalesce("_limit", F.lit(most))).alias("threshold"))
+        .select(*own, F.pow(2.0, rate).alias("perplexity"), F.pow(2.0, F.coalesce("_limit", F.lit(highest))).alias("threshold"))
         .withColumn("kept", F.col("perplexity") <= F.col("threshold"))
     )
 
@@ -260,5 +266,5 @@ def keep_trusted_like(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", text_of().alias("text"))
-    judged = classified(docs, table(spark, sf_dir, "labels"))
+    judged = classified(docs, table(spark, sf_dir, "labels"), drop_text=True)
     return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")

@@ -523,3 +523,26 @@ def test_search_leaves_a_forest_or_every_pair():
             left = {k: new if v == old else v for k, v in left.items()}
         groups.append(len(set(left.values())))
     assert groups[0] == groups[1]
+
+
+def test_kneser_ney_trains_on_every_trusted_document(spark, monkeypatch):
+    made = random.Random(3)
+    rows = [(i, "".join(made.choices("abcd", k=60)), "en") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int")
+    trained = []
+    real = kneser_ney.probabilities
+    monkeypatch.setattr(kneser_ney, "probabilities", lambda counts: trained.append(counts) or real(counts))
+    monkeypatch.setattr(kneser_ney, "TRUSTED_DOCS", 20, raising=False)
+    got = {r.doc_id: r for r in kneser_ney.classified(frame, good).collect()}
+    assert sum(c.agg({"n": "sum"}).first()[0] for c in trained) == 150 * 61
+    # Joined tables give what sent ones give.
+    joined = kneser_ney.classified(frame, good, sent=0).collect()
+    assert len(joined) == 300 and all(math.isclose(r.perplexity, got[r.doc_id].perplexity, rel_tol=1e-9) for r in joined)
+    # The two models' bits for one text, by the models' own tables.
+    trained = trained[:2]
+    tables = [kneser_ney.seen_costs(real(c)) for c in trained]
+    grams, starts, lengths = kneser_ney._grams([rows[1][1]])
+    bits = [kneser_ney.gram_bits(grams, own)[starts[0] : starts[0] + lengths[0]].sum() for own in tables]
+    scored = kneser_ney.sums(frame.filter("doc_id = 1"), kneser_ney._cut, kneser_ney.gram_costs(kneser_ney.gram_counts(frame), [real(c) for c in trained]), ["b0", "b1"]).first()
+    assert np.allclose(bits, [scored.b0, scored.b1], rtol=1e-5)
