@@ -2,14 +2,13 @@
 
 The model reads a text as its words, folded for A to Z, each followed by a space, and an end. A byte
 is eight binary decisions; a decision's node is the bits before it and the up to ``DEPTH`` bytes before
-that in the word. A node's Krichevsky-Trofimov estimate counts the training bits seen there, and its
+that in the text. A node's Krichevsky-Trofimov estimate counts the training bits seen there, and its
 weighted probability is half that estimate's and half the product of its children's. The share
 of either gives the weight of each depth in a prediction, so all depths are mixed.
 
-Contexts end at the word's beginning, so a text's code length is a sum over its words, and a word
-is scored once however often it occurs. Documents are inverted: a row is a word with its places in a
-chunk of documents. Word counts, context counts and scores are sums and joins by word, by
-context and by chunk.
+A text's code length is a sum over its contexts with their next bytes, whose bits are worked out in shards.
+For the base score documents are inverted: a row is a word with its places in a chunk of documents.
+Word counts, context counts and scores are sums and joins by word, by context and by chunk.
 """
 
 from __future__ import annotations
@@ -26,19 +25,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from activity_mart.llm import grams as n_grams
 from activity_mart.llm.common import drop_table, ship, stored, table, text_chunks, text_of
 
 DEPTH = 5
 FOLDS, HELD_OUT = 5, 1
 CHUNK = 6_000_000
-# A table of at most so many contexts with their next bytes goes to every task (48 MB); a larger one is joined.
-SENT_CONTEXTS = 4_000_000
 SUMMED_TOGETHER = 400_000
 END = b""
 _U = np.uint64
 _SPACE, _LINE = 0x20, 0x0A
 _START = int.from_bytes(b" " * DEPTH, "big")
-CHUNKS = "chunk long, word binary, train long, places array<int>, counts array<int>, ids array<long>, held array<boolean>"
+CHUNKS = "chunk long, word binary, train long, places array<int>, counts array<int>, ids array<long>, held array<boolean>, bits array<double>"
 
 
 def held_out(doc_id: str) -> Column:
@@ -46,7 +44,7 @@ def held_out(doc_id: str) -> Column:
 
 
 def _inverted(docs: DataFrame) -> DataFrame:
-    """A row for each word of a chunk of documents, and one without word that lists the documents."""
+    """A row for each word of a chunk of ``docs`` (``doc_id, held, text, bits``), and one without word that lists the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, batch in enumerate(text_chunks(batches, "text", CHUNK)):
@@ -81,28 +79,29 @@ def _inverted(docs: DataFrame) -> DataFrame:
                     lists(counts),
                     pa.nulls(n, pa.list_(pa.int64())),
                     pa.nulls(n, pa.list_(pa.bool_())),
+                    pa.nulls(n, pa.list_(pa.float64())),
                 ],
                 NAMES,
             )
             ids = batch["doc_id"]
-            documents = [pa.array([v], t) for v, t in ((ids.fill_null(0).to_pylist(), pa.list_(pa.int64())), (held, pa.list_(pa.bool_())))]
+            listed = (ids.fill_null(0).to_pylist(), pa.int64()), (held, pa.bool_()), (batch["bits"].to_pylist(), pa.float64())
+            documents = [pa.array([v], pa.list_(t)) for v, t in listed]
             # The places of a row without word are marks of documents without id.
             marks = pa.array([ids.is_null().cast(pa.int32()).to_pylist()], pa.list_(pa.int32()))
             empty = [pa.nulls(1, t) for t in (pa.binary(), pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *empty, marks, pa.nulls(1, pa.list_(pa.int32())), *documents], NAMES)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held"), text_of().cast("binary").alias("text"))
-    return source.mapInArrow(run, CHUNKS)
+    return docs.mapInArrow(run, CHUNKS)
 
 
 NAMES = [part.split()[0] for part in CHUNKS.split(", ")]
 
 
-def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of each word and its end with the ``DEPTH`` bytes before it, as one number; and each word's bytes."""
-    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+def _contexts(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte of each piece with the ``DEPTH`` bytes before it in the piece, as one number; and each piece's bytes."""
+    lengths = np.array([len(piece) for piece in pieces], dtype=np.int64)
     pad = b" " * DEPTH
-    data = np.frombuffer(b"".join(pad + w + (b" " if w else b"\n") for w in words), dtype=np.uint8).astype(_U)
+    data = np.frombuffer(b"".join(chain.from_iterable((pad, piece) for piece in pieces)), dtype=np.uint8).astype(_U)
     grams = data.copy()
     for k in range(1, DEPTH + 1):
         grams[k:] |= data[:-k] << _U(8 * k)
@@ -113,18 +112,22 @@ def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return grams[own], lengths
 
 
-def _gram_counts(vocabulary: DataFrame) -> DataFrame:
-    """``gram, n``: training occurrences of every byte after every context, 0 if held-out words alone have it."""
+def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of each word by itself and its space, the empty word being the end."""
+    return _contexts([w + (b" " if w else b"\n") for w in words])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, lengths = _grams(batch["word"].to_pylist())
-            seen, place = np.unique(grams, return_inverse=True)
-            n = np.zeros(len(seen), dtype=np.int64)
-            np.add.at(n, place, np.repeat(batch["c"].to_numpy(), lengths))
-            yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n)], ["gram", "n"])
 
-    return vocabulary.select("word", "c").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+def _cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of whole texts: their words, each with a space, and the end."""
+    return _contexts([b" ".join([*text.lower().split(), b"\n"]) for text in texts])
+
+
+def _cut_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_cut``, of a model whose contexts end at the word's beginning."""
+    words = [[*text.lower().split(), END] for text in texts]
+    grams, lengths = _grams([w for own in words for w in own])
+    first = np.cumsum([0] + [len(own) for own in words])[:-1]
+    return grams, np.add.reduceat(lengths, first)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -248,48 +251,28 @@ def gram_costs(counts: DataFrame) -> DataFrame:
     return shard.groupBy("shard").applyInPandas(score, "gram long, bits double")
 
 
-def _scored_words(vocabulary: DataFrame, costs: DataFrame) -> DataFrame:
-    """``word, c, bits``: each word's count in training and its log2 probability."""
-    if costs.count() <= SENT_CONTEXTS:
-        rows = costs.orderBy("gram").toArrow()
-        sent = vocabulary.sparkSession.sparkContext.broadcast((rows["gram"].to_numpy(), rows["bits"].to_numpy()))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, bits = sent.value
-            for batch in batches:
-                grams, lengths = _grams(batch["word"].to_pylist())
-                each = bits[np.searchsorted(keys, grams.view(np.int64))]
-                yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(np.add.reduceat(each, np.cumsum(lengths) - lengths))], ["word", "c", "bits"])
-
-        return vocabulary.mapInArrow(run, "word binary, c long, bits double")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, lengths = _grams(batch["word"].to_pylist())
-            at = pa.array(np.repeat(np.arange(batch.num_rows), lengths))
-            yield pa.RecordBatch.from_arrays([batch["word"].take(at), batch["c"].take(at), pa.array(grams.view(np.int64))], ["word", "c", "gram"])
-
-    placed = vocabulary.mapInArrow(cut, "word binary, c long, gram long").join(costs, "gram")
-    return placed.groupBy("word", "c").agg(F.sum("bits").alias("bits"))
-
-
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT_GRAMS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
-    Both scores are log10 probabilities. Null and empty texts are the end alone. Rows are scored one by
-    one, so repeated rows agree, though each counts in training; a null id is trained on. With no
-    training documents every count is 0 and every bit even. An empty table has no rows.
+    Both scores are log10 probabilities. ``across_words`` gives each byte the ``DEPTH`` bytes before it in the text,
+    as the method has it; without it contexts end at the word's beginning. Null and empty texts are the end alone. Rows are
+    scored one by one, so repeated rows agree, though each counts in training; a null id is trained on. With no
+    training documents every count is 0 and every bit even. An empty table has no rows. A table of more than ``sent``
+    contexts with their next bytes is joined.
     """
     ship(docs.sparkSession)
-    inverted = stored(_inverted(docs), "inverted-documents")
+    cut = _cut if across_words else _cut_words
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held"), text_of().cast("binary").alias("text"))
+    # Held-out texts count for no n-gram, but theirs are in the table.
+    counted = n_grams.counts(source.select("text", F.when(~F.col("held"), 0).alias("class")), cut, 1)
+    counts = stored(counted.withColumnRenamed("n0", "n"), "context-counts")
+    costs = stored(gram_costs(counts), "context-costs")
+    inverted = stored(_inverted(n_grams.sums(source, cut, costs, ["bits"], sent)), "inverted-documents")
     words = inverted.filter("word IS NOT NULL")
     vocabulary = stored(words.groupBy("word").agg(F.sum("train").alias("c")), "vocabulary")
     totals = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     tokens, distinct = totals[0] or 0, totals[1]
-    counts = stored(_gram_counts(vocabulary), "context-counts")
-    costs = stored(gram_costs(counts), "context-costs")
-    scored = stored(_scored_words(vocabulary, costs), "scored-words")
-    for done in (vocabulary, counts):
+    for done in (counts, costs):
         drop_table(done)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,15 +282,15 @@ def scores(docs: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             rows = [pa.array(list(sums), pa.int64())]
-            rows += [pa.array([s[i].tolist() for s in sums.values()], pa.list_(pa.float64())) for i in range(4)]
-            return pa.RecordBatch.from_arrays(rows, ["chunk", "base", "bits", "tokens", "known"])
+            rows += [pa.array([s[i].tolist() for s in sums.values()], pa.list_(pa.float64())) for i in range(3)]
+            return pa.RecordBatch.from_arrays(rows, ["chunk", "base", "tokens", "known"])
 
         for batch in batches:
-            names, c, bits = (batch[x].to_numpy() for x in ("chunk", "c", "bits"))
+            names, c = (batch[x].to_numpy() for x in ("chunk", "c"))
             lengths = batch["places"].value_lengths().to_numpy()
             place, n = batch["places"].flatten().to_numpy(), batch["counts"].flatten().to_numpy()
             base = np.repeat(np.log10(c + 0.5), lengths) * n
-            own, known = np.repeat(bits, lengths) * n, np.repeat(c > 0, lengths) * n
+            known = np.repeat(c > 0, lengths) * n
             name = np.repeat(names, lengths)
             order = np.argsort(name, kind="stable")
             edges = np.flatnonzero(np.r_[True, np.diff(name[order]) != 0]) if len(order) else []
@@ -315,7 +298,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 key, size = int(name[part[0]]), int(place[part].max()) + 1
                 old = sums.get(key)
                 size = max(size, 0 if old is None else old.shape[1])
-                new = np.stack([np.bincount(place[part], v[part], size) for v in (base, own, n, known)])
+                new = np.stack([np.bincount(place[part], v[part], size) for v in (base, n, known)])
                 if old is not None:
                     new[:, : old.shape[1]] += old
                 held += size - (0 if old is None else old.shape[1])
@@ -329,27 +312,27 @@ def scores(docs: DataFrame) -> DataFrame:
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         documents = rows[rows["ids"].notna()].iloc[0]
         size = len(documents["ids"])
-        sums = np.zeros((4, size))
+        sums = np.zeros((3, size))
         for row in rows[rows["ids"].isna()].itertuples():
-            for i, own in enumerate((row.base, row.bits, row.tokens, row.known)):
+            for i, own in enumerate((row.base, row.tokens, row.known)):
                 sums[i, : len(own)] += own
-        n = sums[2]
+        n = sums[1]
         base = sums[0] - n * math.log10(tokens + 0.5 * (distinct + 1))
         return pd.DataFrame(
             {
                 "doc_id": pd.arrays.IntegerArray(np.array(documents["ids"], dtype=np.int64), np.array(documents["places"], dtype=bool)),
                 "held_out": documents["held"],
                 "n_tokens": n.astype(np.int64),
-                "n_known": sums[3].astype(np.int64),
+                "n_known": sums[2].astype(np.int64),
                 "train_tokens": tokens,
                 "base_score": base,
-                "score": sums[1] * math.log10(2),
+                "score": np.array(documents["bits"], dtype=np.float64) * math.log10(2),
             }
         )
 
-    sums = words.select("chunk", "word", "places", "counts").join(scored, "word")
-    sums = sums.select("chunk", "places", "counts", "c", "bits").mapInArrow(partial, "chunk long, base array<double>, bits array<double>, tokens array<double>, known array<double>")
-    listed = inverted.filter("word IS NULL").select("chunk", "places", "ids", "held")
+    sums = words.select("chunk", "word", "places", "counts").join(vocabulary, "word")
+    sums = sums.select("chunk", "places", "counts", "c").mapInArrow(partial, "chunk long, base array<double>, tokens array<double>, known array<double>")
+    listed = inverted.filter("word IS NULL").select("chunk", "places", "ids", "held", "bits")
     # A chunk has a bounded number of bytes, and each task that held its words at least one row of sums.
     return (
         sums.unionByName(listed, allowMissingColumns=True)
@@ -359,4 +342,4 @@ def scores(docs: DataFrame) -> DataFrame:
 
 
 def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scores(table(spark, sf_dir, "documents").select("doc_id", "text"), across_words=True)

@@ -525,6 +525,39 @@ def test_search_leaves_a_forest_or_every_pair():
     assert groups[0] == groups[1]
 
 
+def test_context_tree_reads_across_words_by_brute_force(docs, empty):
+    whole = lambda t: b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
+    out = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 5 == 1
+
+    def grams(text):
+        padded = b" " * context_tree.DEPTH + text
+        return np.array([int.from_bytes(padded[i : i + context_tree.DEPTH + 1], "big") for i in range(len(text))], dtype=np.uint64)
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    every, n = np.unique(np.concatenate([grams(whole(t)) for i, t in rows if not out(i)]), return_counts=True)
+    levels = context_tree._levels(every, n, 0)
+    base = lambda found: {(r.doc_id, round(r.base_score, 6), r.n_tokens, r.n_known) for r in found}
+    alone = base(context_tree.scores(docs).collect())
+    # Sent to every task, and joined.
+    for sent in (10**6, 0):
+        got = context_tree.scores(docs, across_words=True, sent=sent).collect()
+        assert len(got) == len(rows) and base(got) == alone
+        for r in got:
+            text = TEXTS[r.doc_id] if r.doc_id is not None else rows[-1][1]
+            assert math.isclose(r.score, context_tree._costs(grams(whole(text)), levels).sum() * math.log10(2), rel_tol=1e-9)
+    assert context_tree.scores(empty, across_words=True, sent=0).count() == 0
+
+
+def test_context_tree_query_tells_the_order_of_words(spark, tmp_path):
+    made = random.Random(4)
+    rows = [(i, " ".join(["abc def", "ghi jkl"][made.random() < 0.5] for _ in range(40))) for i in range(60)]
+    rows += [(100, "abc def " * 20), (101, "abc jkl " * 20), (102, "def abc " * 20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    score = {r.doc_id: r.score for r in registry.QUERIES["op7_context_tree"](spark, str(tmp_path)).collect()}
+    # The same words in an order that training has not.
+    assert score[100] > score[101] + 5
+
+
 def test_kneser_ney_trains_on_every_trusted_document(spark, monkeypatch):
     made = random.Random(3)
     rows = [(i, "".join(made.choices("abcd", k=60)), "en") for i in range(300)]
