@@ -177,7 +177,7 @@ def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flawed_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.flawed_extracts(spark, sf_dir)[COUNTY_EXTRACT.name]
+    return tables.flawed_extracts(spark, sf_dir, COUNTY_EXTRACT.name)[COUNTY_EXTRACT.name]
 
 
 def fact_left(spark: SparkSession, sf_dir: str) -> DataFrame:

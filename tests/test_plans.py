@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 import pytest
 
 import __spark_entry__ as contract
-from activity_mart.contracts import EXTRACTS
+from activity_mart.contracts import COUNTY_EXTRACT, DISTRICT_EXTRACT, EXTRACTS
 from activity_mart.operators import cleaning, expectations
 from activity_mart.testbed import registry, tables
 
@@ -86,3 +87,24 @@ def test_checks_of_the_fact_read_its_profile(spark, sf_dir):
     for report in (registry.check_models(spark, sf_dir), expectations.quality_report({}, star)):
         plan = plan_of(report)
         assert f"fact_lending_activity{fact}" not in plan and "fact-profile" in plan
+
+
+def test_the_flawed_star_builds_no_office_extract(spark, sf_dir):
+    kept = dict(tables._built)
+    tables.forget()
+    try:
+        registry.QUERIES["dq_fact_keys"](spark, sf_dir).collect()
+        built = {name for _, _, name in tables._built}
+    finally:
+        tables._built.update(kept)
+    assert not [name for name in built if DISTRICT_EXTRACT.name in name] and f"flawed-{COUNTY_EXTRACT.name}" in built
+
+
+def test_loans_travel_as_whole_cents(spark):
+    rows = [(1, "9.99", "0.05"), (1, "0.01", None), (1, None, "0.05"), (2, None, None), (None, "-3.33", "0.50")]
+    loans = spark.createDataFrame([(k, p and Decimal(p), d and Decimal(d)) for k, p, d in rows], "l_suppkey long, dollars decimal(18,2), discount decimal(4,2)")
+    summed = tables._per_supplier(loans)
+    assert {summed.schema[name].dataType.simpleString() for name in ("dollars", "guaranty")} == {"bigint"}
+    found = {r.l_suppkey: (r.loans, r.dollars, r.guaranty) for r in summed.select("l_suppkey", "loans", tables._money("dollars"), tables._money("guaranty")).collect()}
+    # Each guaranty is rounded to cents before it is summed: 9.4905 to 9.49, -1.665 to -1.67.
+    assert found == {1: (3, Decimal("10.00"), Decimal("9.49")), 2: (1, None, None), None: (1, Decimal("-3.33"), Decimal("-1.67"))}
