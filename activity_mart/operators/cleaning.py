@@ -143,8 +143,14 @@ def quarantine(tagged: dict[ExtractSpec, DataFrame]) -> DataFrame:
 
 
 def surplus_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row: how many rows repeat an earlier one. Nulls compare equal."""
-    copies = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("copies"))
+    """One row: how many rows repeat an earlier one. Nulls compare equal.
+
+    Rows travel as 128 bits of two digests, which also say which values are null, and not whole.
+    """
+    names = columns or df.columns
+    values = [part for name in names for part in (F.col(name).isNull(), F.col(name))]
+    digests = [F.xxhash64(F.lit(seed), *values).alias(f"_digest_{seed}") for seed in (1, 2)]
+    copies = df.groupBy(*digests).agg(F.count("*").alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_mart.contracts import COUNTY_EXTRACT, EXTRACTS, LENDER_EXTRACT, ExtractSpec
-from activity_mart.operators.cleaning import STATUS, clean, log_counts, log_table, quarantine, surplus_rows, tag
+from activity_mart.operators.cleaning import ORIGINAL, REASON, STATUS, clean, log_counts, log_table, quarantine, surplus_rows, tag
 from activity_mart.operators.expectations import assert_quality, quality_report, row_counts
 from activity_mart.operators.star import Star, build_star
 from activity_mart.plans.analytics import run_analytics
@@ -28,8 +28,13 @@ class Refresh:
 
 
 def parse(raw: DataFrame, spec: ExtractSpec) -> tuple[DataFrame, dict[str, int]]:
-    """The tagged extract as a table partitioned by row status, and its log counts, in one pass."""
-    return counted(tag(raw, spec), log_counts(spec), lambda rows: stored(rows, f"tagged-{spec.name}", [STATUS]))
+    """The tagged extract as a table partitioned by row status, and its log counts, in one pass.
+
+    Only rejects keep the record as it was delivered: nothing reads it of clean and blank rows.
+    """
+    tagged = tag(raw, spec)
+    tagged = tagged.withColumn(ORIGINAL, F.when(F.col(REASON).isNotNull(), F.col(ORIGINAL)))
+    return counted(tagged, log_counts(spec), lambda rows: stored(rows, f"tagged-{spec.name}", [STATUS]))
 
 
 def refresh(

@@ -210,3 +210,13 @@ def test_counts_of_no_rows_are_zero(spark):
         assert rows.count() == 0 and set(counts.values()) == {0} and counts.keys() > {"raw_rows", "missing_lender"}
         log = cleaning.log_table(spark, {LENDER_EXTRACT: {**counts, "duplicate_rows": 0}}).first()
         assert (log.raw_rows, log.missing_before) == (0, {})
+
+
+def test_duplicates_travel_as_digests(spark):
+    rows = [(None, "a", 1), ("a", None, 1), (None, "a", 1), ("a", "", 1), ("", "a", 1), ("a", None, 1), ("a", None, None)]
+    frame = spark.createDataFrame(rows, "x string, y string, n int")
+    assert cleaning.surplus_rows(frame).first().duplicate_rows == 2
+    assert cleaning.surplus_rows(frame, ["n"]).first().duplicate_rows == 5
+    plan = cleaning.surplus_rows(frame)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert shuffled and not any(f"{name}#" in line for line in shuffled for name in "xyn")
