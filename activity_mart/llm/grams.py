@@ -20,7 +20,7 @@ from activity_mart.llm.common import stored, text_chunks
 # Texts to the n-grams that end at each of their bytes, as numbers, and how many each text has.
 Cut = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
-# A table of at most so many n-grams goes to every task (64 MB); a larger one is joined.
+# A table of at most so many n-grams goes to every task (96 MB with two numbers each); a larger one is joined.
 SENT_GRAMS = 4_000_000
 # Rows of one slice, and distinct n-grams that a task adds up before it hands them on.
 SLICE_ROWS = 1 << 16

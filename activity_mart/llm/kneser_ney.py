@@ -167,11 +167,11 @@ def gram_costs(wanted: DataFrame, models: list[list[DataFrame]]) -> DataFrame:
         bits = []
         for i, low in enumerate(lowest.value):
             parts = [which == i * ORDER + k for k in range(2, ORDER)]
-            bits.append(gram_bits(own, low + [_costs(grams[part], p[part], rest[part]) for part in parts]).astype(np.float32))
+            bits.append(gram_bits(own, low + [_costs(grams[part], p[part], rest[part]) for part in parts]))
         return pa.table([own, *bits], ["gram", *names])
 
     sharded = rows.groupBy(F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(0xFFFF)), F.lit(SHARDS)).alias("shard"))
-    return sharded.applyInArrow(score, ", ".join(["gram long", *[f"{name} float" for name in names]]))
+    return sharded.applyInArrow(score, ", ".join(["gram long", *[f"{name} double" for name in names]]))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
