@@ -24,6 +24,8 @@ from activity_mart.llm.grams import SENT_GRAMS, counts, sums
 
 ORDER = 6  # bytes; an n-gram is a number of ORDER digits to the base CLASSES
 CLASSES = 256
+# Words of 64 trusted ids that go to every task at most.
+SENT_IDS = 2_000_000
 # Groups that the two bytes before an n-gram's last are dealt into.
 SHARDS = 1024
 QUANTILE = 0.995
@@ -196,7 +198,21 @@ def training_sample(trusted: DataFrame, most: int) -> DataFrame:
 
 def fold() -> Column:
     """The half of the trusted documents, 0 or 1, that a document is in."""
-    return F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
+    return F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id").cast("long")), F.lit(2)).cast("int")
+
+
+def in_half(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``docs`` with ``_fold``: the half of those among the ``chosen`` ids, null for others and for a null id.
+
+    The ids go to every task as bits of 64 neighbouring ids, so that no text is shuffled; if they are in more than
+    ``SENT_IDS`` such words, Spark joins them as it sees fit.
+    """
+    word, place = F.expr("shiftright(doc_id, 6)"), "cast(doc_id & 63 as int)"
+    words = stored(chosen.groupBy(word.alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, {place}))").alias("_ids")), "trusted-words")
+    sent = F.broadcast(words) if words.count() <= SENT_IDS else words
+    marked = docs.withColumn("_id", F.col("doc_id").cast("long")).join(sent, F.expr("shiftright(_id, 6) = _word"), "left")
+    among = F.expr("shiftright(_ids, cast(_id & 63 as int)) & 1 = 1")
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns], F.when(among, fold()).alias("_fold"))
 
 
 def classified(
@@ -217,8 +233,7 @@ def classified(
     if most is not None:
         trusted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").distinct().join(good, "doc_id", "left_semi")
         chosen = stored(training_sample(trusted, most), "training-sample")
-    # Spark sends the ids to every task where they are few.
-    judged = docs.join(chosen.withColumn("_fold", fold()), "doc_id", "left").select(*[docs[c] for c in docs.columns], "_fold")
+    judged = in_half(docs, chosen)
     found = stored(counts(judged.select(text_of().alias("text"), F.col("_fold").alias("class")), _cut, 2), "gram-counts")
     halves = [found.filter(F.col(n) > 0).select("gram", F.col(n).alias("n")) for n in ("n0", "n1")]
     # With a single half there is one model, which then judges its own documents too.

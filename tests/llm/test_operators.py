@@ -558,6 +558,25 @@ def test_context_tree_query_tells_the_order_of_words(spark, tmp_path):
     assert score[100] > score[101] + 5
 
 
+def test_kneser_ney_marks_halves_without_a_shuffle_of_texts(spark, monkeypatch):
+    ids = [0, 1, 63, 64, 65, 127, 128, 10**15, -1, -64, -65, None]
+    frame = spark.createDataFrame([(i, "x") for i in ids + ids[:2]], "doc_id long, text string")
+    good = spark.createDataFrame([(i,) for i in ids[:-1:2]], "doc_id long")
+    want = sorted((r.doc_id, r.half) for r in good.select("doc_id", kneser_ney.fold().alias("half")).collect())
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for sent in (kneser_ney.SENT_IDS, 0):
+            monkeypatch.setattr(kneser_ney, "SENT_IDS", sent)
+            marked = kneser_ney.in_half(frame, good)
+            assert ("SortMergeJoin" in marked._jdf.queryExecution().toString()) == (sent == 0)
+            rows = marked.collect()
+            assert len(rows) == len(ids) + 2
+            assert sorted({(r.doc_id, r._fold) for r in rows if r._fold is not None}) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_kneser_ney_trains_on_every_trusted_document(spark, monkeypatch):
     made = random.Random(3)
     rows = [(i, "".join(made.choices("abcd", k=60)), "en") for i in range(300)]
