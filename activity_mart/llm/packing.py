@@ -11,8 +11,10 @@ ends at the lower bound or after ``PLAN_NODES`` branchings, with the incumbent.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,17 +69,18 @@ def _complete(counts: np.ndarray, present: list[int], space: int) -> list[int]:
             room -= length
     least, tried = room, 0
     smallest = present[-1] if present else space + 1
+    number, longer, ordered = counts.tolist(), _longer(counts), [-x for x in present]
 
     def search(at: int, room: int, chosen: list[int]) -> None:
         nonlocal best, least, tried
         tried += 1
-        if room < least and not _dominated(counts, chosen, room):
+        if room < least and not _dominated(number, longer, chosen, room):
             best, least = [*chosen], room
         if least == 0 or room < smallest or tried > SEARCH_NODES:
             return
-        for i in range(at, len(present)):
+        for i in range(max(at, bisect_left(ordered, -room)), len(present)):
             length = present[i]
-            if length > room or chosen.count(length) >= counts[length]:
+            if chosen.count(length) >= number[length]:
                 continue
             # What follows is no larger than this piece: with few pieces left to come the space stays open.
             search(i, room - length, [*chosen, length])
@@ -96,11 +99,21 @@ def _complete(counts: np.ndarray, present: list[int], space: int) -> list[int]:
     return best
 
 
-def _dominated(counts: np.ndarray, chosen: list[int], room: int) -> bool:
+def _longer(counts: np.ndarray) -> list[int]:
+    """For each length the next longer one that is left, or one beyond all lengths."""
+    there = np.flatnonzero(counts)
+    return np.append(there, 2 * len(counts))[np.searchsorted(there, np.arange(len(counts)), side="right")].tolist()
+
+
+def _dominated(number: list[int], longer: list[int], chosen: list[int] | tuple[int, ...], room: int) -> bool:
     """Whether a longer piece that is left could stand in for one of the chosen."""
-    return any(
-        counts[length + 1 : length + room + 1].any() and any(counts[x] > chosen.count(x) for x in range(length + 1, length + room + 1)) for length in chosen
-    )
+    for length in chosen:
+        x = longer[length]
+        while x <= length + room:
+            if number[x] > chosen.count(x):
+                return True
+            x = longer[x]
+    return False
 
 
 def _fillings(counts: np.ndarray, present: list[int], space: int) -> list[list[int]]:
@@ -108,19 +121,28 @@ def _fillings(counts: np.ndarray, present: list[int], space: int) -> list[list[i
     first = _complete(counts, present, space)
     if sum(first) == space and len(first) <= 2:
         return [first]  # an exact single piece or pair dominates every filling of more pieces
+    number, longer, ordered = counts.tolist(), _longer(counts), [-x for x in present]
+
+    def following(at: int, room: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+        for i in range(max(at, bisect_left(ordered, -room)), len(present)):
+            if chosen.count(present[i]) < number[present[i]]:
+                yield i, room - present[i], (*chosen, present[i])
+
     found: dict[tuple[int, ...], int] = {}
-    smallest = present[-1] if present else space + 1
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, space, ())]
+    stack: list[Iterator[tuple[int, int, tuple[int, ...]]]] = [iter([(0, space, ())])]
     tried = 0
     while stack and tried < SEARCH_NODES:
-        at, room, chosen = stack.pop()
-        tried += 1
-        if room < smallest or not any(x <= room and chosen.count(x) < counts[x] for x in present[at:]):
-            if not _dominated(counts, list(chosen), room):
-                found[chosen] = room
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
             continue
-        following = [(i, room - x, (*chosen, x)) for i, x in enumerate(present[at:], at) if x <= room and chosen.count(x) < counts[x]]
-        stack.extend(reversed(following))
+        tried += 1
+        _, room, chosen = step
+        more = following(*step)
+        if (one := next(more, None)) is not None:
+            stack.append(chain([one], more))
+        elif not _dominated(number, longer, chosen, room):
+            found[chosen] = room
     found.pop(tuple(first), None)
     return [first, *(list(f) for f in sorted(found, key=found.__getitem__))]
 
@@ -165,6 +187,14 @@ def best_fit(counts: np.ndarray) -> list[Filling]:
     return [f for groups in bins.values() for f in groups]
 
 
+def _branches(left: np.ndarray, fillings: list[list[int]], made: tuple | None, used: int) -> Iterator[tuple[np.ndarray, Filling, tuple | None, int]]:
+    """Each filling as often as its lengths last, and once, so that any mix of fillings is a branch."""
+    for lengths in fillings:
+        most = min(int(left[x]) // lengths.count(x) for x in set(lengths))
+        for times in dict.fromkeys((most, 1)):
+            yield left, Filling(lengths, times), made, used
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_NODES) -> list[Filling]:
     """Fillings for all pieces of the histogram; their ``times`` are the sequences.
 
@@ -177,10 +207,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_
     best = best_fit(counts)
     fewest, least = sum(f.times for f in best), lower_bound(counts)
     # A branch: the pieces before it, its filling, the fillings before it as a linked list, their sequences.
-    stack: list[tuple[np.ndarray, Filling | None, tuple | None, int]] = [(counts, None, None, 0)]
+    stack: list[Iterator[tuple[np.ndarray, Filling | None, tuple | None, int]]] = [iter([(counts, None, None, 0)])]
     descended, done = False, 0
     while stack and fewest > least and (done < nodes or not descended):
-        before, filling, made, used = stack.pop()
+        branch = next(stack[-1], None)
+        if branch is None:
+            stack.pop()
+            continue
+        before, filling, made, used = branch
         left = before.copy()
         if filling:
             np.subtract.at(left, filling.lengths, filling.times)
@@ -202,13 +236,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_
         present = [int(x) for x in np.flatnonzero(left[: space + 1])[::-1]]
         fillings = [[largest, *f] for f in _fillings(left, present, space)]
         left[largest] += 1
-        branches = []
         # No more branches than nodes can be visited.
-        for lengths in fillings[: max(1, nodes - done)]:
-            most = min(int(left[x]) // lengths.count(x) for x in set(lengths))
-            # As often as its lengths last, and once, so that any mix of fillings is a branch.
-            branches += [(left, Filling(lengths, times), made, used) for times in dict.fromkeys((most, 1))]
-        stack.extend(reversed(branches))
+        stack.append(_branches(left, fillings[: max(1, nodes - done)], made, used))
     return best
 
 
