@@ -14,7 +14,6 @@ Word counts, context counts and scores are sums and joins by word, by context an
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -43,55 +42,42 @@ def held_out(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def _inverted(docs: DataFrame) -> DataFrame:
-    """A row for each word of a chunk of ``docs`` (``doc_id, held, text, bits``), and one without word that lists the documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for i, batch in enumerate(text_chunks(batches, "text", CHUNK)):
-            name = TaskContext.get().partitionId() << 32 | i
-            held = batch["held"].to_pylist()
-            places: dict[bytes, list[int]] = {END: list(range(len(held)))}
-            counts: dict[bytes, list[int]] = {END: [1] * len(held)}
-            train: Counter[bytes] = Counter({END: held.count(False)})
-            for place, (text, out) in enumerate(zip(batch["text"], held, strict=True)):
-                own = Counter(text.as_py().lower().split())
-                if not out:
-                    train.update(own)
-                for word, n in own.items():
-                    if word in places:
-                        places[word].append(place)
-                        counts[word].append(n)
-                    else:
-                        places[word], counts[word] = [place], [n]
-            words = list(places)
-
-            def lists(of: dict[bytes, list[int]], words=words) -> pa.ListArray:
-                ends = np.cumsum([0] + [len(of[w]) for w in words]).astype(np.int32)
-                return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(of[w] for w in words), np.int32)))
-
-            n = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * n, pa.int64()),
-                    pa.array(words, pa.binary()),
-                    pa.array([train[w] for w in words], pa.int64()),
-                    lists(places),
-                    lists(counts),
-                    pa.nulls(n, pa.list_(pa.int64())),
-                    pa.nulls(n, pa.list_(pa.bool_())),
-                    pa.nulls(n, pa.list_(pa.float64())),
-                ],
-                NAMES,
-            )
-            ids = batch["doc_id"]
-            listed = (ids.fill_null(0).to_pylist(), pa.int64()), (held, pa.bool_()), (batch["bits"].to_pylist(), pa.float64())
-            documents = [pa.array([v], pa.list_(t)) for v, t in listed]
-            # The places of a row without word are marks of documents without id.
-            marks = pa.array([ids.is_null().cast(pa.int32()).to_pylist()], pa.list_(pa.int32()))
-            empty = [pa.nulls(1, t) for t in (pa.binary(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *empty, marks, pa.nulls(1, pa.list_(pa.int32())), *documents], NAMES)
-
-    return docs.mapInArrow(run, CHUNKS)
+def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each word of a chunk of documents (``doc_id, held, text, bits``), and one without word that lists the documents."""
+    for i, batch in enumerate(text_chunks(batches, "text", CHUNK)):
+        name = TaskContext.get().partitionId() << 32 | i
+        held, size = batch["held"].to_numpy(zero_copy_only=False), batch.num_rows
+        own: list[pa.Array] = [pa.array(text.as_py().lower().split(), pa.binary()) for text in batch["text"]]
+        place = np.repeat(np.arange(size), [len(words) for words in own])
+        coded = pa.concat_arrays(own).dictionary_encode()
+        del own
+        n = len(coded.dictionary)
+        # The end is the last word, once in each document.
+        code = np.r_[coded.indices.to_numpy().astype(np.int64), np.full(size, n)]
+        pairs, times = np.unique(code * size + np.r_[place, np.arange(size)], return_counts=True)
+        word, place = pairs // size, pairs % size
+        ends = pa.array(np.searchsorted(word, np.arange(n + 2)).astype(np.int32))
+        train = np.bincount(word, np.where(held[place], 0, times), n + 1).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n + 1, name, dtype=np.int64)),
+                pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())]),
+                pa.array(train),
+                pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
+                pa.nulls(n + 1, pa.list_(pa.int64())),
+                pa.nulls(n + 1, pa.list_(pa.bool_())),
+                pa.nulls(n + 1, pa.list_(pa.float64())),
+            ],
+            NAMES,
+        )
+        ids = batch["doc_id"]
+        listed = (ids.fill_null(0).to_pylist(), pa.int64()), (held.tolist(), pa.bool_()), (batch["bits"].to_pylist(), pa.float64())
+        documents = [pa.array([v], pa.list_(t)) for v, t in listed]
+        # The places of a row without word are marks of documents without id.
+        marks = pa.array([ids.is_null().cast(pa.int32()).to_pylist()], pa.list_(pa.int32()))
+        empty = [pa.nulls(1, t) for t in (pa.binary(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *empty, marks, pa.nulls(1, pa.list_(pa.int32())), *documents], NAMES)
 
 
 NAMES = [part.split()[0] for part in CHUNKS.split(", ")]
@@ -267,7 +253,7 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
     counted = n_grams.counts(source.select("text", F.when(~F.col("held"), 0).alias("class")), cut, 1)
     counts = stored(counted.withColumnRenamed("n0", "n"), "context-counts")
     costs = stored(gram_costs(counts), "context-costs")
-    inverted = stored(_inverted(n_grams.sums(source, cut, costs, ["bits"], sent)), "inverted-documents")
+    inverted = stored(n_grams.sums(source, cut, costs, ["bits"], sent, then=(_inverted, CHUNKS)), "inverted-documents")
     words = inverted.filter("word IS NOT NULL")
     vocabulary = stored(words.groupBy("word").agg(F.sum("train").alias("c")), "vocabulary")
     totals = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()

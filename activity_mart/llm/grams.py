@@ -19,6 +19,7 @@ from activity_mart.llm.common import stored, text_chunks
 
 # Texts to the n-grams that end at each of their bytes, as numbers, and how many each text has.
 Cut = Callable[[list], tuple[np.ndarray, np.ndarray]]
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 # A table of at most so many n-grams goes to every task (96 MB with two numbers each); a larger one is joined.
 SENT_GRAMS = 4_000_000
@@ -96,11 +97,14 @@ def _text_sums(texts: list, cut: Cut, keys: np.ndarray, values: list[np.ndarray]
     return [pa.array(np.bincount(row, own[place], len(texts))) for own in values]
 
 
-def sums(docs: DataFrame, cut: Cut, table: DataFrame, names: list[str], sent: int = SENT_GRAMS, drop_text: bool = False) -> DataFrame:
+def sums(
+    docs: DataFrame, cut: Cut, table: DataFrame, names: list[str], sent: int = SENT_GRAMS, drop_text: bool = False, then: tuple[Batches, str] | None = None
+) -> DataFrame:
     """``docs`` (with ``text``) and, for each of ``names``, the sum of that column of ``table`` over the text's n-grams.
 
     ``table`` has every n-gram of the texts once, as ``gram``, with numbers under ``names``. A large one is
     not sent: a chunk of texts asks for its distinct n-grams by a join, and meets the answers in one task.
+    ``then``, a function of batches and its schema, is applied to the rows; with a table that is sent, in the same worker.
     """
     columns = [c for c in docs.columns if not (drop_text and c == "text")]
     fields = [T.StructField(name, T.DoubleType()) for name in names]
@@ -116,7 +120,10 @@ def sums(docs: DataFrame, cut: Cut, table: DataFrame, names: list[str], sent: in
                 made = _text_sums(batch["text"].to_pylist(), cut, keys, values)
                 yield pa.RecordBatch.from_arrays([*[batch[c] for c in columns], *made], [*columns, *names])
 
-        return docs.mapInArrow(score, schema)
+        if then is None:
+            return docs.mapInArrow(score, schema)
+        after, kinds = then
+        return docs.mapInArrow(lambda batches: after(score(batches)), kinds)
 
     every = docs.columns
 
@@ -141,4 +148,5 @@ def sums(docs: DataFrame, cut: Cut, table: DataFrame, names: list[str], sent: in
 
     placed = stored(docs.mapInArrow(chunked, T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType())])), "text-chunks")
     found = placed.select("_chunk", "text").mapInArrow(wanted, "_chunk long, gram long").join(table.select("gram", *names), "gram")
-    return placed.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(answered, schema)
+    made = placed.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(answered, schema)
+    return made if then is None else made.mapInArrow(*then)

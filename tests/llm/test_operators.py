@@ -568,6 +568,31 @@ def test_context_tree_reads_across_words_by_brute_force(docs, empty):
     assert context_tree.scores(empty, across_words=True, sent=0).count() == 0
 
 
+def test_context_tree_inverts_in_the_worker_that_scores(docs):
+    source = docs.selectExpr("doc_id", "doc_id % 2 = 0 AS held", "cast(coalesce(text, '') AS binary) AS text")
+    grams = docs.sparkSession.createDataFrame(
+        [(int(g), 0.5) for g in np.unique(context_tree._cut([(t or "").encode() for t in [*TEXTS, *(r.text for r in docs.collect())]])[0]).astype(np.int64)], "gram long, bits double"
+    )
+    source = source.withColumn("held", source.held & source.held.isNotNull())
+    made = context_tree.n_grams.sums(source, context_tree._cut, grams, ["bits"], then=(context_tree._inverted, context_tree.CHUNKS))
+    assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rows = made.collect()
+    listed = {r.chunk: r for r in rows if r.word is None}
+    got, train, want, trained = {}, {}, {}, {}
+    for r in rows:
+        if r.word is not None:
+            train[bytes(r.word)] = train.get(bytes(r.word), 0) + r.train
+            assert r.places == sorted(set(r.places))
+            for place, n in zip(r.places, r.counts, strict=True):
+                doc = None if listed[r.chunk].places[place] else listed[r.chunk].ids[place]
+                got[doc, bytes(r.word)] = got.get((doc, bytes(r.word)), 0) + n
+    for doc, text, held in source.select("doc_id", "text", "held").collect():
+        for word in [*bytes(text).lower().split(), b""]:
+            want[doc, word] = want.get((doc, word), 0) + 1
+            trained[word] = trained.get(word, 0) + (not held)
+    assert got == want and train == trained
+
+
 def test_context_tree_query_tells_the_order_of_words(spark, tmp_path):
     made = random.Random(4)
     rows = [(i, " ".join(["abc def", "ghi jkl"][made.random() < 0.5] for _ in range(40))) for i in range(60)]
