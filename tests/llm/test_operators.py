@@ -516,6 +516,57 @@ def test_a_large_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
     assert sum(compared) <= 12 * len(texts)
 
 
+def test_search_gives_a_pair_that_shares_many_buckets_few_times(spark, monkeypatch):
+    base = words(390, 71).split()
+    texts = {}
+    for i in range(16):  # near misses: each two share most groups, have 84 per cent of their shingles in common and no link
+        own = list(base)
+        for k in range(4):
+            own[24 * i + 6 * k] = f"x{i}y{k}"
+        texts[i] = " ".join(own)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    given = spark.sparkContext.accumulator(0)
+    plain = shingle_join._search
+
+    def counted(rows, percent, forest):
+        found = plain(rows, percent, forest)
+        given.add(len(found))
+        return found
+
+    monkeypatch.setattr(shingle_join, "_search", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.near_duplicates(rows, 4, 85).collect()}
+    assert got == brute_components(texts, 4, 85)
+    # Of the group's 120 pairs.
+    assert 0 < given.value <= 120
+
+
+def test_shared_signatures_have_every_node_of_several(spark):
+    made = random.Random(29)
+    base = [words(60, 80 + i).split() for i in range(4)]
+    texts = [" ".join(w if made.random() < 0.97 else f"y{i}" for w in base[i % 4]) for i in range(40)]
+    texts += texts[:10] + [None, ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    want = {}
+    for s in shingle_join.shingle_sets([t or "" for t in texts], 4):
+        for signature in shingle_join.signatures(s, 85).view(np.int64).tolist() if len(s) else []:
+            want.setdefault(signature, set()).add(shingle_join.node_of(s))
+    got, leads = {}, {}
+    for r in shingle_join._shared(rows.select(common.text_of().alias("text")), 4, 85).collect():
+        got.setdefault(r.signature, set()).add(r.node)
+        leads.setdefault(r.signature, set()).add((r.lead, r.node))
+    assert got == {k: v for k, v in want.items() if len(v) > 1}
+    # Every node but the first of all names another one, in chains that end at the first.
+    for signature, pairs in leads.items():
+        assert {n for lead, n in pairs if lead != n} | {min(want[signature])} == want[signature]
+
+
+def test_points_are_packed_whole():
+    point = np.zeros(shingle_join.COORDINATES, dtype=np.int32)
+    for most in (0, 255, 256, 70_000):
+        point[7] = most
+        assert shingle_join.unpacked(shingle_join.packed(point)).tolist() == point.tolist()
+
+
 def test_search_leaves_a_forest_or_every_pair():
     import pandas as pd
 
