@@ -316,7 +316,8 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
             }
         )
 
-    sums = words.select("chunk", "word", "places", "counts").join(vocabulary, "word")
+    # A part of the vocabulary is a hash table in its task: nothing is sorted by words.
+    sums = words.select("chunk", "word", "places", "counts").join(vocabulary.hint("shuffle_hash"), "word")
     sums = sums.select("chunk", "places", "counts", "c").mapInArrow(partial, "chunk long, base array<double>, tokens array<double>, known array<double>")
     listed = inverted.filter("word IS NULL").select("chunk", "places", "ids", "held", "bits")
     # A chunk has a bounded number of bytes, and each task that held its words at least one row of sums.

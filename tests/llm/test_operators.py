@@ -488,6 +488,11 @@ def test_context_tree_scores_by_brute_force(docs, empty):
     assert context_tree.scores(empty).count() == 0
 
 
+def test_words_meet_the_vocabulary_unsorted(docs):
+    plan = context_tree.scores(docs, across_words=True)._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin [word" in plan and "SortMergeJoin [word" not in plan
+
+
 def test_every_operator_is_registered():
     assert {name.partition("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
