@@ -23,9 +23,10 @@ Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 # A table of at most so many n-grams goes to every task (96 MB with two numbers each); a larger one is joined.
 SENT_GRAMS = 4_000_000
-# Rows of one slice, and distinct n-grams that a task adds up before it hands them on.
+# Rows of one slice, distinct n-grams that a task adds up before it hands them on, and rows that it hands on at once.
 SLICE_ROWS = 1 << 16
-SUMMED_GRAMS = 3_000_000
+SUMMED_GRAMS = 2_000_000
+SENT_TOGETHER = 200_000
 _LOW = np.uint64(16)
 
 
@@ -46,6 +47,20 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, dtype=np.int64)
 
 
+def _merged(held: list[tuple[np.ndarray, list[np.ndarray]]], classes: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """One list of all; empties ``held``, so that its arrays and their sums aren't in memory together."""
+    if len(held) == 1:
+        return held.pop()
+    grams = np.concatenate([g for g, _ in held])
+    n = [n for _, n in held]
+    held.clear()
+    order = np.argsort(grams, kind="stable").astype(np.int32)
+    grams = grams[order]
+    at = _starts(grams)
+    grams = grams[at]
+    return grams, [np.add.reduceat(np.concatenate([own[i] for own in n])[order], at, dtype=np.int64) for i in range(classes)]
+
+
 def counts(docs: DataFrame, cut: Cut, classes: int) -> DataFrame:
     """``gram`` of every text, and ``n0``, ``n1``, ...: its places in the texts of each class.
 
@@ -53,20 +68,13 @@ def counts(docs: DataFrame, cut: Cut, classes: int) -> DataFrame:
     """
     names = [f"n{i}" for i in range(classes)]
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        if len(held) == 1:
-            return held[0]
-        grams = np.concatenate([g for g, _ in held])
-        order = np.argsort(grams, kind="stable")
-        grams = grams[order]
-        at = _starts(grams)
-        return grams[at], np.add.reduceat(np.concatenate([n for _, n in held])[order], at, axis=0)
-
-    def batch_of(grams: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), *[pa.array(n[:, i]) for i in range(classes)]], ["gram", *names])
+    def batches_of(grams: np.ndarray, n: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(grams), SENT_TOGETHER):
+            part = slice(start, start + SENT_TOGETHER)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[part].view(np.int64)), *[pa.array(own[part].astype(np.int64)) for own in n]], ["gram", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, list[np.ndarray]]] = []
         for batch in _slices(batches, "text"):
             grams, lengths = cut(batch["text"].to_pylist())
             own = batch["class"].fill_null(classes).to_numpy()
@@ -74,14 +82,13 @@ def counts(docs: DataFrame, cut: Cut, classes: int) -> DataFrame:
             at = _starts(ordered)
             upto = [np.r_[0, np.cumsum(kind == i)] for i in range(classes)]
             ends = np.r_[at[1:], len(ordered)]
-            held.append((ordered[at], np.stack([u[ends] - u[at] for u in upto], axis=1)))
+            held.append((ordered[at], [(u[ends] - u[at]).astype(np.int32) for u in upto]))
             if sum(len(g) for g, _ in held) > SUMMED_GRAMS:
-                held = [merged(held)]
+                held = [_merged(held, classes)]
                 if len(held[0][0]) > SUMMED_GRAMS // 2:
-                    yield batch_of(*held[0])
-                    held = []
+                    yield from batches_of(*held.pop())
         if held:
-            yield batch_of(*merged(held))
+            yield from batches_of(*_merged(held, classes))
 
     schema = ", ".join(f"{name} long" for name in ("gram", *names))
     made = docs.select("text", F.col("class").cast("int").alias("class")).mapInArrow(run, schema)
@@ -113,6 +120,7 @@ def sums(
         rows = table.select("gram", *names).orderBy("gram").toArrow()
         tables = docs.sparkSession.sparkContext.broadcast((rows["gram"].to_numpy().astype(np.uint64), [rows[name].to_numpy() for name in names]))
         del rows
+        pa.default_memory_pool().release_unused()
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, values = tables.value

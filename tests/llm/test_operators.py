@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
+from activity_mart.llm import grams as n_grams
 from activity_mart.llm import (
     byte_pair,
     chunk_dedup,
@@ -493,6 +495,26 @@ def test_words_meet_the_vocabulary_unsorted(docs):
     assert "ShuffledHashJoin [word" in plan and "SortMergeJoin [word" not in plan
 
 
+def test_summed_grams_are_merged_in_little_memory():
+    made = np.random.default_rng(5)
+    held, want = [], {}
+    for _ in range(3):
+        grams = np.unique(made.integers(0, 400_000, 200_000)).astype(np.uint64)
+        n = [made.integers(0, 9, len(grams)).astype(np.int32) for _ in range(2)]
+        held.append((grams, n))
+        for g, a, b in zip(grams.tolist(), *map(np.ndarray.tolist, n), strict=True):
+            old = want.get(g, (0, 0))
+            want[g] = (old[0] + a, old[1] + b)
+    size = sum(g.nbytes + sum(own.nbytes for own in n) for g, n in held)
+    del grams, n
+    tracemalloc.start()
+    got, sums = n_grams._merged(held, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not held and dict(zip(got.tolist(), zip(*map(np.ndarray.tolist, sums), strict=True), strict=True)) == want
+    assert peak <= 2.6 * size and sums[0].dtype == np.int64
+
+
 def test_every_operator_is_registered():
     assert {name.partition("_")[0] for name in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
