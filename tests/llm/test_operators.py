@@ -370,6 +370,15 @@ def test_components_of_a_chain(spark):
     assert got == {**dict.fromkeys(range(41), 0), 99: 99, 100: 99}
 
 
+def test_components_end_with_the_round_that_makes_stars(spark, monkeypatch):
+    written = []
+    plain = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, label: written.append(label) or plain(df, label))
+    links = spark.createDataFrame([(1, 5), (1, 6), (2, 9), (9, 2)], "a long, b long")
+    assert {r.node: r.component for r in common.components(links).collect()} == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2}
+    assert written == ["links"]
+
+
 def test_chunk_dedup_takes_the_passage_once(docs, empty):
     done = chunk_dedup.without_repeats(docs)
     rows = {r.doc_id: r for r in done.collect()}
@@ -623,6 +632,31 @@ def test_search_leaves_a_forest_or_every_pair():
     assert groups[0] == groups[1]
 
 
+def test_search_asks_only_for_nodes_outside_the_largest_component(monkeypatch):
+    made = random.Random(9)
+    base = np.array([made.choice((0, 0, 1, 2)) for _ in range(256)])
+    points = [base + np.bincount([made.randrange(256) for _ in range(4)], minlength=256) for _ in range(300)]
+    rows = []
+    for high in (0, 1):  # one block with itself, and two blocks
+        for i, p in enumerate(points):
+            own = {"signature": 5 + high, "node": i, "component": 0 if i % 50 else i, "block": i % 2 * high, "low": 0, "high": high}
+            rows.append(own | {"point": p.astype(np.uint8)})
+    asked = []
+    plain = shingle_join._tree_pairs
+    monkeypatch.setattr(shingle_join, "_tree_pairs", lambda point, total, asks, *rest: asked.extend(asks) or plain(point, total, asks, *rest))
+    frame = shingle_join.pd.DataFrame(rows)
+    got = set(map(tuple, shingle_join._search(frame, 85, False).to_numpy().tolist()))
+    part = frame["component"].tolist()[:300]
+
+    def near(a, b):
+        overlap, both = np.minimum(points[a], points[b]).sum(), points[a].sum() + points[b].sum()
+        return overlap * 185 >= 85 * both and 100 * min(points[a].sum(), points[b].sum()) >= 85 * max(points[a].sum(), points[b].sum())
+
+    assert got == {(a, b) for a, b in itertools.combinations(range(300), 2) if part[a] != part[b] and near(a, b)} and got
+    # Five nodes are outside the component of the other 295.
+    assert len(asked) <= 2 * 5 and {part[i] for i in asked} == {50, 100, 150, 200, 250}
+
+
 def test_context_tree_reads_across_words_by_brute_force(docs, empty):
     whole = lambda t: b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
     out = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 5 == 1
