@@ -81,6 +81,52 @@ def _inverted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 NAMES = [part.split()[0] for part in CHUNKS.split(", ")]
+# Places and counts go to disk as one column.
+PACKED = CHUNKS.replace("places array<int>, counts array<int>", "postings binary")
+
+
+def _short(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers as bytes of seven bits each, lowest first and all but a number's last marked, and where each number ends."""
+    sizes = 1 + sum((numbers >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    ends = np.cumsum(sizes)
+    data = np.empty(sizes.sum(), dtype=np.uint8)
+    for k in range(sizes.max(initial=0)):
+        own = sizes > k
+        data[(ends - sizes)[own] + k] = numbers[own] >> 7 * k & 127 | np.where(sizes[own] > k + 1, 128, 0)
+    return data, ends
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``CHUNKS`` as ``PACKED``: a word's places, as steps, each with its count, in short numbers; a row without word has a byte for each mark."""
+    names = [part.split()[0] for part in PACKED.split(", ")]
+    for batch in batches:
+        place, counts = batch["places"].flatten().to_numpy(), batch["counts"]
+        edges = np.r_[0, np.cumsum(batch["places"].value_lengths().to_numpy())]
+        data = place.astype(np.uint8)
+        if not counts.null_count:
+            step = np.diff(place, prepend=0)
+            step[edges[:-1]] = place[edges[:-1]]
+            data, ends = _short(np.column_stack([step, counts.flatten().to_numpy()]).ravel())
+            edges = np.r_[0, ends][2 * edges]
+        postings = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data.tobytes())])
+        columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {"postings": postings}
+        yield pa.RecordBatch.from_arrays([columns[name] for name in names], names)
+
+
+def _unpacked(postings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many places each word has, and all words' places and counts."""
+    postings = postings.cast(pa.large_binary())
+    _, edges, data = postings.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64)[postings.offset :][: len(postings) + 1]
+    data = np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]]
+    last = np.flatnonzero(data < 128)
+    first = np.r_[0, last[:-1] + 1]
+    shift = np.arange(len(data)) - np.repeat(first, last - first + 1)
+    step, n = np.add.reduceat((data & 127).astype(np.int64) << 7 * shift, first).reshape(-1, 2).T
+    upto = np.searchsorted(last, edges - edges[0]) // 2
+    lengths = np.diff(upto)
+    place = np.cumsum(step)
+    return lengths, place - np.repeat((place - step)[upto[:-1]], lengths), n
 
 
 def _contexts(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +299,7 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
     counted = n_grams.counts(source.select("text", F.when(~F.col("held"), 0).alias("class")), cut, 1)
     counts = stored(counted.withColumnRenamed("n0", "n"), "context-counts")
     costs = stored(gram_costs(counts), "context-costs")
-    inverted = stored(n_grams.sums(source, cut, costs, ["bits"], sent, then=(_inverted, CHUNKS)), "inverted-documents")
+    inverted = stored(n_grams.sums(source, cut, costs, ["bits"], sent, then=(lambda batches: _packed(_inverted(batches)), PACKED)), "inverted-documents")
     words = inverted.filter("word IS NOT NULL")
     vocabulary = stored(words.groupBy("word").agg(F.sum("train").alias("c")), "vocabulary")
     totals = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
@@ -272,9 +318,10 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
             return pa.RecordBatch.from_arrays(rows, ["chunk", "base", "tokens", "known"])
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             names, c = (batch[x].to_numpy() for x in ("chunk", "c"))
-            lengths = batch["places"].value_lengths().to_numpy()
-            place, n = batch["places"].flatten().to_numpy(), batch["counts"].flatten().to_numpy()
+            lengths, place, n = _unpacked(batch["postings"])
             base = np.repeat(np.log10(c + 0.5), lengths) * n
             known = np.repeat(c > 0, lengths) * n
             name = np.repeat(names, lengths)
@@ -306,7 +353,7 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
         base = sums[0] - n * math.log10(tokens + 0.5 * (distinct + 1))
         return pd.DataFrame(
             {
-                "doc_id": pd.arrays.IntegerArray(np.array(documents["ids"], dtype=np.int64), np.array(documents["places"], dtype=bool)),
+                "doc_id": pd.arrays.IntegerArray(np.array(documents["ids"], dtype=np.int64), np.frombuffer(documents["postings"], dtype=np.uint8).astype(bool)),
                 "held_out": documents["held"],
                 "n_tokens": n.astype(np.int64),
                 "n_known": sums[2].astype(np.int64),
@@ -317,9 +364,9 @@ def scores(docs: DataFrame, across_words: bool = False, sent: int = n_grams.SENT
         )
 
     # A part of the vocabulary is a hash table in its task: nothing is sorted by words.
-    sums = words.select("chunk", "word", "places", "counts").join(vocabulary.hint("shuffle_hash"), "word")
-    sums = sums.select("chunk", "places", "counts", "c").mapInArrow(partial, "chunk long, base array<double>, tokens array<double>, known array<double>")
-    listed = inverted.filter("word IS NULL").select("chunk", "places", "ids", "held", "bits")
+    sums = words.select("chunk", "word", "postings").join(vocabulary.hint("shuffle_hash"), "word")
+    sums = sums.select("chunk", "postings", "c").mapInArrow(partial, "chunk long, base array<double>, tokens array<double>, known array<double>")
+    listed = inverted.filter("word IS NULL").select("chunk", "postings", "ids", "held", "bits")
     # A chunk has a bounded number of bytes, and each task that held its words at least one row of sums.
     return (
         sums.unionByName(listed, allowMissingColumns=True)

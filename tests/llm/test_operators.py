@@ -705,6 +705,29 @@ def test_context_tree_inverts_in_the_worker_that_scores(docs):
     assert got == want and train == trained
 
 
+def test_context_tree_keeps_postings_as_short_numbers():
+    made = random.Random(5)
+    places = [sorted(made.sample(range(1 << made.choice((6, 16, 28))), made.randint(1, 40))) for _ in range(200)] + [[100]]
+    counts = [[made.randint(1, 1 << made.choice((1, 9, 30))) for _ in own] for own in places[:-1]] + [[1]]
+    n = len(places)
+    kinds = context_tree.pa.schema([(name, t) for name, t in zip(context_tree.NAMES, _arrow_types(), strict=True)])
+    rows = context_tree.pa.RecordBatch.from_pydict(
+        dict(zip(context_tree.NAMES, [[7] * n, [b"w"] * n, [1] * n, places, counts, [None] * n, [None] * n, [None] * n], strict=True)), kinds
+    )
+    marks = context_tree.pa.RecordBatch.from_pydict(dict(zip(context_tree.NAMES, [[7], [None], [None], [[0, 1, 0]], [None], [[1, 0, 3]], [[True] * 3], [[0.5] * 3]], strict=True)), kinds)
+    packed, listed = context_tree._packed(iter([rows, marks]))
+    for start in (0, 7):
+        lengths, place, times = context_tree._unpacked(packed["postings"].slice(start))
+        assert lengths.tolist() == [len(own) for own in places[start:]]
+        assert place.tolist() == sum(places[start:], []) and times.tolist() == sum(counts[start:], [])
+    assert packed["postings"][-1].as_py() == bytes([100, 1]) and listed["postings"][0].as_py() == bytes([0, 1, 0])
+
+
+def _arrow_types():
+    pa = context_tree.pa
+    return [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.float64())]
+
+
 def test_context_tree_query_tells_the_order_of_words(spark, tmp_path):
     made = random.Random(4)
     rows = [(i, " ".join(["abc def", "ghi jkl"][made.random() < 0.5] for _ in range(40))) for i in range(60)]
