@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_mart.llm.common import ship, stored, table, text_of
+from activity_mart.llm.common import drop_table, ship, stored, table, text_of
 from activity_mart.llm.grams import SENT_GRAMS, counts, sums
 
 ORDER = 6  # bytes; an n-gram is a number of ORDER digits to the base CLASSES
@@ -76,7 +76,8 @@ def probabilities(counts: DataFrame) -> list[DataFrame]:
     """
     orders = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
-        orders[k] = orders[k + 1].groupBy((F.col("gram") % CLASSES**k).alias("gram")).agg(F.count("*").alias("n"))
+        # Stored, as each is read several times: else the lowest order's plan would hold all the sums above it, over and over.
+        orders[k] = stored(orders[k + 1].groupBy((F.col("gram") % CLASSES**k).alias("gram")).agg(F.count("*").alias("n")), "kneser-ney-counts")
     made: list[DataFrame] = []
     for k in range(1, ORDER + 1):
         seen = orders[k].select("gram", "n", F.shiftright("gram", 8).alias("context"))
@@ -95,6 +96,8 @@ def probabilities(counts: DataFrame) -> list[DataFrame]:
             lower = joined.withColumn("tail", F.col("gram") % CLASSES ** (k - 1)).join(made[-1].select(F.col("gram").alias("tail"), F.col("p").alias("q")), "tail")
         p = (F.col("n") - off) / F.col("total") + F.col("rest") * F.col("q")
         made.append(stored(lower.select("gram", p.alias("p"), "context", "rest"), "kneser-ney"))
+    for k in range(1, ORDER):
+        drop_table(orders[k])
     return made
 
 

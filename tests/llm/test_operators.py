@@ -757,6 +757,18 @@ def test_kneser_ney_marks_halves_without_a_shuffle_of_texts(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_kneser_ney_sums_each_order_once(spark, monkeypatch):
+    grams = spark.createDataFrame([(int(g), int(1 + g % 3)) for g in np.random.default_rng(2).integers(0, 1 << 48, 300)], "gram long, n long")
+    plans = []
+    plain = kneser_ney.stored
+    monkeypatch.setattr(kneser_ney, "stored", lambda df, label: plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or plain(df, label))
+    made = kneser_ney.probabilities(grams)
+    assert [t.count() for t in made][-1] == grams.select("gram").distinct().count()
+    assert [label for label, _ in plans] == ["kneser-ney-counts"] * 5 + ["kneser-ney"] * 6
+    # No plan sums an order again that is stored: an order's counts are one aggregate, its probabilities one, by context.
+    assert max(plan.count("Aggregate [") for _, plan in plans) == 1
+
+
 def test_kneser_ney_trains_on_every_trusted_document(spark, monkeypatch):
     made = random.Random(3)
     rows = [(i, "".join(made.choices("abcd", k=60)), "en") for i in range(300)]
