@@ -576,6 +576,35 @@ def test_search_gives_a_pair_that_shares_many_buckets_few_times(spark, monkeypat
     assert 0 < given.value <= 120
 
 
+def test_search_takes_a_node_once_from_buckets_of_one_first_node(spark, monkeypatch):
+    base = words(390, 71).split()
+    texts = {}
+    for i in range(16):  # near misses, each two of which share most groups; and a copy of each with two other words
+        own = list(base)
+        for k in range(4):
+            own[24 * i + 6 * k] = f"x{i}y{k}"
+        texts[i] = " ".join(own)
+        own[5 + 24 * i] = own[17 + 24 * i] = "z"
+        texts[16 + i] = " ".join(own)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_components(texts, 4, 85)
+    given = spark.sparkContext.accumulator(0)
+    plain = shingle_join._search
+
+    def counted(rows, percent, forest):
+        given.add(len(rows))
+        return plain(rows, percent, forest)
+
+    monkeypatch.setattr(shingle_join, "_search", counted)
+    for block in (shingle_join.BLOCK, 5):
+        monkeypatch.setattr(shingle_join, "BLOCK", block)
+        before = given.value
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.near_duplicates(rows, 4, 85).collect()}
+        assert got == want
+        if block > len(texts):  # in two searches: each node with the first ones of its buckets, not with every signature
+            assert 0 < given.value - before <= len(texts) * (len(texts) + 1)
+
+
 def test_shared_signatures_have_every_node_of_several(spark):
     made = random.Random(29)
     base = [words(60, 80 + i).split() for i in range(4)]
