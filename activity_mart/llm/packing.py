@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -116,11 +116,24 @@ def _dominated(number: list[int], longer: list[int], chosen: list[int] | tuple[i
     return False
 
 
-def _fillings(counts: np.ndarray, present: list[int], space: int) -> list[list[int]]:
-    """The undominated fillings of ``space``, least waste first; the greedy completion is the first."""
+def _fillings(left: np.ndarray, largest: int) -> Iterator[list[int]]:
+    """A ``largest`` piece with each undominated filling beside it, least waste first; with the greedy completion before all.
+
+    The others are looked for once they are asked for: a first descent that ends at the lower bound needs none of them.
+    """
+
+    def beside() -> tuple[np.ndarray, list[int], int]:
+        counts, space = left.copy(), len(left) - 1 - largest
+        counts[largest] -= 1
+        return counts, np.flatnonzero(counts[: space + 1])[::-1].tolist(), space
+
+    counts, present, space = beside()
     first = _complete(counts, present, space)
+    del counts, present  # many wait here
+    yield [largest, *first]
     if sum(first) == space and len(first) <= 2:
-        return [first]  # an exact single piece or pair dominates every filling of more pieces
+        return  # an exact single piece or pair dominates every filling of more pieces
+    counts, present, space = beside()
     number, longer, ordered = counts.tolist(), _longer(counts), [-x for x in present]
 
     def following(at: int, room: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, int, tuple[int, ...]]]:
@@ -144,7 +157,8 @@ def _fillings(counts: np.ndarray, present: list[int], space: int) -> list[list[i
         elif not _dominated(number, longer, chosen, room):
             found[chosen] = room
     found.pop(tuple(first), None)
-    return [first, *(list(f) for f in sorted(found, key=found.__getitem__))]
+    for chosen in sorted(found, key=found.__getitem__):
+        yield [largest, *chosen]
 
 
 def lower_bound(counts: np.ndarray) -> int:
@@ -187,7 +201,7 @@ def best_fit(counts: np.ndarray) -> list[Filling]:
     return [f for groups in bins.values() for f in groups]
 
 
-def _branches(left: np.ndarray, fillings: list[list[int]], made: tuple | None, used: int) -> Iterator[tuple[np.ndarray, Filling, tuple | None, int]]:
+def _branches(left: np.ndarray, fillings: Iterable[list[int]], made: tuple | None, used: int) -> Iterator[tuple[np.ndarray, Filling, tuple | None, int]]:
     """Each filling as often as its lengths last, and once, so that any mix of fillings is a branch."""
     for lengths in fillings:
         most = min(int(left[x]) // lengths.count(x) for x in set(lengths))
@@ -230,14 +244,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_
             best.reverse()
             continue
         done += descended
-        largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        space = capacity - largest
-        present = [int(x) for x in np.flatnonzero(left[: space + 1])[::-1]]
-        fillings = [[largest, *f] for f in _fillings(left, present, space)]
-        left[largest] += 1
+        fillings = _fillings(left, int(np.flatnonzero(left)[-1]))
         # No more branches than nodes can be visited.
-        stack.append(_branches(left, fillings[: max(1, nodes - done)], made, used))
+        stack.append(_branches(left, islice(fillings, max(1, nodes - done)), made, used))
     return best
 
 

@@ -1,5 +1,6 @@
 """Each operator against brute force, and on nulls, empty, long, tied and repeated rows."""
 
+import collections
 import hashlib
 import itertools
 import math
@@ -188,6 +189,18 @@ def test_packing_plan_makes_only_the_branches_it_visits(monkeypatch):
     assert len(made) < 400  # 930 if every branch is made ahead
 
 
+def test_packing_plan_looks_for_no_fillings_that_it_never_tries(monkeypatch):
+    made = random.Random(1)
+    histogram = collections.Counter(min(1024, 1 + int(made.expovariate(1 / 300))) for _ in range(4_000))
+    judged, plain = [], packing._dominated
+    monkeypatch.setattr(packing, "_dominated", lambda *of: judged.append(1) or plain(*of))
+    fillings = packing.plan(histogram, 1024)
+    # One sequence fewer than best fit: the first descent ends at the bound.
+    assert sum(f.times for f in fillings) == math.ceil(sum(n * k for n, k in histogram.items()) / 1024)
+    assert sum(n * f.times for f in fillings for n in f.lengths) == sum(n * k for n, k in histogram.items())
+    assert 0 < len(judged) < 1_000  # 533,990 if every branching looks for all of its fillings
+
+
 def test_packing_plan_is_the_best_of_small_histograms():
     for seed in range(40):
         made = random.Random(seed)
